@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import recommender  # noqa: F401
+from . import files, recommender, relational  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

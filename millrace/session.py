@@ -30,15 +30,20 @@ def cut(df: DataFrame) -> DataFrame:
     The folder is the one the cluster names in ``spark.checkpoint.dir``; a temporary
     one is set only where neither that setting nor the context has any.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-")
-        )
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def shuffle_width(df: DataFrame) -> int:
     """Task count for stages that are bound by computation rather than by bytes."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that every executor can reach: the checkpoint folder of this application."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(
+            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-")
+        )
+    return context.getCheckpointDir()

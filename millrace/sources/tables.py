@@ -28,7 +28,7 @@ SCHEMAS = {
     "labels": "doc_id bigint, quality int, toxic int",
     "benchmark": "item_id bigint, text string",
     "pages": "page_id bigint, url string, html string",
-    "conversations": "conv_id bigint, turn int, role string, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 

@@ -22,6 +22,17 @@ TABLES = (
 ).split()
 
 
+KINDS = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
 def plain(value):
     if value is None:
         return None
@@ -83,8 +94,10 @@ def main() -> int:
             f"{'ok   ' if same else 'DIFF '} {name} {count}/{sql_count} rows, spark {spent:.1f}s, sql {sql_spent:.1f}s",
             flush=True,
         )
-        if any("HUGEINT" in kind for kind in types):
-            print(f"      HUGEINT column in the SQL of {name}", flush=True)
+        kinds = dict(zip(columns, types))
+        for column, kind in frame.dtypes:
+            if KINDS.get(kind, kind) != kinds.get(column):
+                print(f"      TYPE {name}.{column}: {kind} against {kinds.get(column)}", flush=True)
         if not same:
             failed.append(name)
             print("      spark", frame.dtypes)
