@@ -44,7 +44,7 @@ def trending(keys: str = "portal", n: int = 20) -> str:
 portal_users AS (SELECT {keys}, count(DISTINCT user_id) AS users FROM ratings GROUP BY {keys}),
 item_means AS (SELECT {keys}, item_id, avg(rating) AS rating, count(*) AS raters FROM ratings GROUP BY {keys}, item_id),
 trend AS (
-  SELECT {keys}, item_id, rating, row_number() OVER (PARTITION BY {keys} ORDER BY round(rating, 8) DESC, item_id) AS rank
+  SELECT {keys}, item_id, rating, CAST(row_number() OVER (PARTITION BY {keys} ORDER BY round(rating, 8) DESC, item_id) AS INTEGER) AS rank
   FROM item_means JOIN portal_users USING ({keys})
   WHERE raters >= CASE WHEN users > 1000 THEN 20 WHEN users > 500 THEN 10 ELSE 5 END
   QUALIFY rank <= {n})"""
@@ -54,7 +54,7 @@ def own_past(keys: str = "portal", n: int = 20) -> str:
     return f"""
 past AS (
   SELECT {keys}, user_id, item_id, rating,
-    row_number() OVER (PARTITION BY {keys}, user_id ORDER BY round(rating, 8) DESC, item_id) AS rank
+    CAST(row_number() OVER (PARTITION BY {keys}, user_id ORDER BY round(rating, 8) DESC, item_id) AS INTEGER) AS rank
   FROM ratings QUALIFY rank <= {n})"""
 
 
@@ -119,7 +119,7 @@ def cf_top(keys: str = "portal", n: int = 20) -> str:
     return f"""
 cf AS (
   SELECT {keys}, user_id, item_id, rating,
-    row_number() OVER (PARTITION BY {keys}, user_id ORDER BY round(rating, 8) DESC, item_id) AS rank
+    CAST(row_number() OVER (PARTITION BY {keys}, user_id ORDER BY round(rating, 8) DESC, item_id) AS INTEGER) AS rank
   FROM (SELECT {keys}, user_id, item_id, rating FROM ratings
         UNION ALL SELECT {keys}, user_id, item_id, rating FROM predicted)
   QUALIFY rank <= {n})"""
@@ -134,7 +134,7 @@ candidates AS (
             FROM (SELECT {keys}, user_id FROM past WHERE rank = 1) JOIN trend USING ({keys})),
 hybrid AS (
   SELECT {keys}, user_id, item_id,
-    row_number() OVER (PARTITION BY {keys}, user_id ORDER BY source, rank) AS sort_order,
+    CAST(row_number() OVER (PARTITION BY {keys}, user_id ORDER BY source, rank) AS INTEGER) AS sort_order,
     CASE source WHEN 1 THEN 'PAST' WHEN 2 THEN 'COLREC' ELSE 'TREND' END AS model_type
   FROM (SELECT * FROM candidates QUALIFY row_number() OVER (PARTITION BY {keys}, user_id, item_id ORDER BY source) = 1)
   QUALIFY sort_order <= {n})"""

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 PORTAL = ("portal",)
 
 # Raw action names, the groups they fall into, and the weighted actions.
@@ -66,8 +68,9 @@ def user_item_rating(counted: DataFrame, by: Sequence[str] = PORTAL, low: float
         .groupBy(*by, "user_id", "item_id")
         .agg((F.sum(F.col("weight") * F.col("n")) / F.sum("n")).alias("score"))
     )
-    # rounding first keeps equal scores equal whatever the summation order
-    scored = scored.withColumn("score", F.round("score", 10))
+    # rounding keeps equal scores equal whatever the summation order; the cut keeps the
+    # spans below from scoring everything again
+    scored = cut(scored.withColumn("score", F.round("score", 10)))
     spans = scored.groupBy(*by).agg(F.min("score").alias("_min"), F.max("score").alias("_max"))
     share = F.coalesce(
         F.try_divide(F.col("score") - F.col("_min"), F.col("_max") - F.col("_min")), F.lit(0.0)
@@ -78,5 +81,5 @@ def user_item_rating(counted: DataFrame, by: Sequence[str] = PORTAL, low: float
 
 
 def rate(activity: DataFrame, by: Sequence[str] = PORTAL) -> DataFrame:
-    """Activity straight to ratings."""
-    return user_item_rating(count_actions(normalize_actions(activity), by), by)
+    """Activity straight to ratings; the activity is read once, for its counts."""
+    return user_item_rating(cut(count_actions(normalize_actions(activity), by)), by)

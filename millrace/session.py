@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +48,22 @@ def shared_folder(spark: SparkSession) -> str:
             spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-")
         )
     return context.getCheckpointDir()
+
+
+def bucketed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Write ``df`` to the shared folder in hash buckets of ``keys``.
+
+    Joins and groupings on the same keys then read it in place, as often as they like.
+    """
+    spark = df.sparkSession
+    name = f"millrace_{uuid.uuid4().hex}"
+    width = shuffle_width(df)
+    (
+        df.repartition(width, *keys)
+        .write.format("parquet")
+        .option("path", f"{shared_folder(spark)}/{name}")
+        .bucketBy(width, *keys)
+        .sortBy(*keys)
+        .saveAsTable(name)
+    )
+    return spark.table(name)
