@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import evaluation, files, recommender, relational  # noqa: F401
+from . import evaluation, files, recommender, relational, texts  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
