@@ -62,21 +62,21 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
     groups = df.filter(F.col(value).isNotNull() & F.col(group).isNotNull()).groupBy(group).agg(
         F.count("*").alias("n"), F.avg(value).alias("mean"), (F.var_pop(value) * F.count("*")).alias("inner")
     )
-    n = F.sum("n")
-    # var_pop of the means weighted by group size, from the few group rows
-    grand = F.sum(F.col("n") * F.col("mean")) / n
-    sums = groups.agg(
-        F.count("*").alias("k"), n.alias("n"), grand.alias("grand"), F.sum("inner").alias("ss_within"),
-        F.collect_list(F.struct("n", "mean")).alias("groups"),
+    one = F.lit(1).alias("_one")
+    grand = groups.select(one, "n", "mean").groupBy("_one").agg(
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand")
     )
-    between = F.aggregate(
-        "groups", F.lit(0.0), lambda acc, g: acc + g["n"] * (g["mean"] - F.col("grand")) * (g["mean"] - F.col("grand"))
-    )
-    table = sums.select(
-        between.alias("ss_between"),
-        "ss_within",
-        (F.col("k") - 1).cast("double").alias("df_between"),
-        (F.col("n") - F.col("k")).cast("double").alias("df_within"),
+    gap = F.col("mean") - F.col("grand")
+    # the right side is a single row
+    table = (
+        groups.select("*", one)
+        .join(grand, "_one")
+        .agg(
+            F.sum(F.col("n") * gap * gap).alias("ss_between"),
+            F.sum("inner").alias("ss_within"),
+            (F.count("*") - 1).cast("double").alias("df_between"),
+            (F.sum("n") - F.count("*")).cast("double").alias("df_within"),
+        )
     )
     ms_between, ms_within = F.col("ss_between") / F.col("df_between"), F.col("ss_within") / F.col("df_within")
     return table.withColumns({"ms_between": ms_between, "ms_within": ms_within, "f": ms_between / ms_within})
