@@ -144,5 +144,6 @@ def term_vectors(train: DataFrame, df: DataFrame, text: str, min_df: int = 2) ->
         split = pairs.transform(kept.transform(words.transform(rows)))
         return split.withColumn("_terms", F.concat("_words", "_pairs")).drop("_raw", "_words", "_pairs")
 
-    counter = CountVectorizer(inputCol="_terms", outputCol="features", minDF=min_df).fit(terms(train))
+    # room for every term: the default size would drop the rarer ones
+    counter = CountVectorizer(inputCol="_terms", outputCol="features", minDF=min_df, vocabSize=2**30).fit(terms(train))
     return counter.transform(terms(train)).drop("_terms"), counter.transform(terms(df)).drop("_terms")

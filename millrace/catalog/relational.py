@@ -505,22 +505,23 @@ FROM orders JOIN lineitem ON l_orderkey = o_orderkey AND l_quantity > 40 JOIN cu
 
 @query("union_branches", UNION_SQL)
 def union_branches(t: Tables) -> DataFrame:
-    """Three extract branches, each with its own way to the item, united without repeats."""
-    sales = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
-
-    def branch(rows: DataFrame, buyers: str, action) -> DataFrame:
-        wanted = rows.join(t.customer.filter(buyers), F.col("o_custkey") == F.col("c_custkey"), "left_semi")
-        return wanted.select(
-            F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"), action.alias("action"), F.col("o_orderdate").alias("ts")
-        )
+    """Three extract branches, each with its own filters, united without repeats.
 
+    The branches share their joins, so the tables are joined once and a row is tagged with
+    every branch it belongs to.
+    """
+    sales = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
+    rows = sales.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     priority = F.upper(F.trim("o_orderpriority"))
-    return (
-        branch(sales.filter("l_returnflag = 'A'"), "c_acctbal > 0", priority)
-        .unionByName(branch(sales.filter("l_linestatus = 'O'"), "c_mktsegment = 'BUILDING'", F.lit("OPENED")))
-        .unionByName(branch(sales.filter("l_quantity > 40"), "c_acctbal > 0", priority))
-        .distinct()
+    branches = F.array(
+        F.when((F.col("l_returnflag") == "A") & (F.col("c_acctbal") > 0), priority),
+        F.when((F.col("l_linestatus") == "O") & (F.col("c_mktsegment") == "BUILDING"), F.lit("OPENED")),
+        F.when((F.col("l_quantity") > 40) & (F.col("c_acctbal") > 0), priority),
     )
+    actions = F.array_distinct(F.filter(branches, lambda action: action.isNotNull()))
+    return rows.select(
+        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"), F.col("o_orderdate").alias("ts"), F.explode(actions).alias("action")
+    ).distinct()
 
 
 @query(

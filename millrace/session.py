@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROWS_PER_BUCKET = 500_000
+
+
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
     """A single-machine session for tests and the benchmark; clusters bring their own."""
     spark = (
@@ -54,10 +57,11 @@ def bucketed(df: DataFrame, keys: list[str]) -> DataFrame:
     """Write ``df`` to the shared folder in hash buckets of ``keys``.
 
     Joins and groupings on the same keys then read it in place, as often as they like.
+    The number of buckets follows the rows, up to the shuffle width of the cluster.
     """
     spark = df.sparkSession
     name = f"millrace_{uuid.uuid4().hex}"
-    width = shuffle_width(df)
+    width = max(1, min(shuffle_width(df), -(-df.count() // ROWS_PER_BUCKET)))
     (
         df.repartition(width, *keys)
         .write.format("parquet")
