@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import pairblocks
 from millrace.plans import collaborative, content, evaluation, lists, ratings
 
 START = datetime(2024, 1, 1)
@@ -119,8 +120,9 @@ def test_ties_go_to_the_smaller_item(spark):
     assert [(r.item_id, r.rank) for r in sorted(found, key=lambda r: r.rank)] == [(3, 1), (7, 2)]
 
 
-@pytest.mark.parametrize("rows_per_block", [512, 6])
-def test_neighbours_and_predictions_equal_brute_force(spark, rows_per_block):
+@pytest.mark.parametrize("rows_per_block,dense_gain", [(512, 50), (6, 50), (6, 0)])
+def test_neighbours_and_predictions_equal_brute_force(spark, monkeypatch, rows_per_block, dense_gain):
+    monkeypatch.setattr(pairblocks, "DENSE_GAIN", dense_gain)  # 0 takes the sparse way everywhere
     rows = random_ratings()
     marked = collaborative.residuals(rating_table(spark, rows))
     near = collaborative.nearest_users(marked, k=5, rows_per_block=rows_per_block).collect()
@@ -139,6 +141,22 @@ def test_neighbours_and_predictions_equal_brute_force(spark, rows_per_block):
             assert mine[cell][1] == n and mine[cell][0] == pytest.approx(value, abs=1e-7)
 
 
+def test_wanted_cells_equal_brute_force(spark):
+    rows = random_ratings(portals=("P",))
+    _, predicted = brute_force([r[1:] for r in rows], 5, 1, 1)
+    rated = {(u, i) for _, u, i, _ in rows}
+    wanted = [("P", u, i) for u in range(0, 23, 3) for i in range(17) if (u, i) not in rated]
+    asked = spark.createDataFrame(wanted, "portal string, user_id bigint, item_id bigint")
+    found = collaborative.predict_cells(rating_table(spark, rows), asked, k=5, min_k=1, rows_per_block=6)
+    mine = {(r.user_id, r.item_id): (r.estimate, r.neighbours) for r in found.collect()}
+    assert len(mine) == len(wanted)
+    for _, u, i in wanted:
+        if (u, i) in predicted:
+            assert mine[u, i] == (pytest.approx(predicted[u, i][0], abs=1e-7), predicted[u, i][1])
+        else:
+            assert mine[u, i][1] == 0
+
+
 def test_one_user_has_no_neighbours(spark):
     marked = collaborative.residuals(rating_table(spark, [("P", 1, i, float(i)) for i in range(1, 4)]))
     assert collaborative.nearest_users(marked).count() == 0
