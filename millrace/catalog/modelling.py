@@ -281,15 +281,49 @@ def kfold_scores(t: Tables) -> DataFrame:
 PRICE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 
 
-@query("linreg_coeffs")
+def least_squares_sql(rows: str) -> str:
+    """Coefficients b1, b2, b3 and the intercept b0 by Cramer's rule on the covariances."""
+    x, y = PRICE_FEATURES, "l_extendedprice"
+
+    def det(columns: list[list[str]]) -> str:
+        a, b, c = columns
+        return (
+            f"({a[0]} * ({b[1]} * {c[2]} - {b[2]} * {c[1]}) - {b[0]} * ({a[1]} * {c[2]} - {a[2]} * {c[1]})"
+            f" + {c[0]} * ({a[1]} * {b[2]} - {a[2]} * {b[1]}))"
+        )
+
+    moments = [f"covar_pop({x[i]}, {x[j]}) AS c{i}{j}" for i in range(3) for j in range(3)]
+    moments += [f"covar_pop({x[i]}, {y}) AS y{i}" for i in range(3)]
+    moments += [f"avg({c}) AS m{i}" for i, c in enumerate([*x, y])]
+    columns = [[f"c{i}{j}" for i in range(3)] for j in range(3)]
+    target = [f"y{i}" for i in range(3)]
+    solved = [f"{det([target if k == j else columns[k] for k in range(3)])} / {det(columns)} AS b{j + 1}" for j in range(3)]
+    return f"""
+moments AS (SELECT {", ".join(moments)} FROM {rows}),
+solved AS (SELECT *, {", ".join(solved)} FROM moments),
+fit AS (SELECT b1, b2, b3, m3 - b1 * m0 - b2 * m1 - b3 * m2 AS b0 FROM solved)"""
+
+
+@query(
+    "linreg_coeffs",
+    f"""WITH {least_squares_sql("lineitem")}
+SELECT 'l_quantity' AS name, round(b1, 4) AS coefficient FROM fit UNION ALL SELECT 'l_discount', round(b2, 4) FROM fit
+UNION ALL SELECT 'l_tax', round(b3, 4) FROM fit UNION ALL SELECT 'intercept', round(b0, 4) FROM fit""",
+)
 def linreg_coeffs(t: Tables) -> DataFrame:
     rows = models.assembled(t.lineitem, PRICE_FEATURES).select("features", F.col("l_extendedprice").alias("label"))
     model = models.linear().fit(rows)
     named = [*zip(PRICE_FEATURES, map(float, model.coefficients)), ("intercept", float(model.intercept))]
-    return t.spark.createDataFrame(named, "name string, coefficient double")
+    return t.spark.createDataFrame(named, "name string, coefficient double").withColumn("coefficient", F.round("coefficient", 4))
 
 
-@query("linreg_mse")
+@query(
+    "linreg_mse",
+    f"""WITH s AS (SELECT *, {HELD_SQL.replace("vec_id", "l_orderkey")} AS held FROM lineitem), train AS (SELECT * FROM s WHERE NOT held),{least_squares_sql("train")}
+SELECT CAST(floor(l_extendedprice / 10000) AS BIGINT) AS price_band, count(*) AS rows,
+  round(avg((l_extendedprice - b0 - b1 * l_quantity - b2 * l_discount - b3 * l_tax) ** 2) / 1000000, 4) AS mse_millions
+FROM s, fit WHERE held GROUP BY price_band""",
+)
 def linreg_mse(t: Tables) -> DataFrame:
     """Fitted on scaled training rows; held-out error, and predictions for given rows after the same scaling."""
     rows = t.lineitem.select("l_orderkey", F.col("l_extendedprice").alias("label"), *PRICE_FEATURES).withColumn("held", hash_unit("l_orderkey") < HELD)
@@ -300,7 +334,7 @@ def linreg_mse(t: Tables) -> DataFrame:
     return (
         model.transform(models.assembled(prep.standardize(test, scales), PRICE_FEATURES))
         .groupBy(F.floor(F.col("label") / 10000).alias("price_band"))
-        .agg(F.count("*").alias("rows"), F.avg(error * error).alias("mse"))
+        .agg(F.count("*").alias("rows"), F.round(F.avg(error * error) / 1_000_000, 4).alias("mse_millions"))
     )
 
 

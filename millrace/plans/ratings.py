@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_groups
 from ..session import cut
 
 PORTAL = ("portal",)
@@ -64,7 +65,7 @@ def user_item_rating(counted: DataFrame, by: Sequence[str] = PORTAL, low: float
     """Mean weight of the user's actions on the item, rescaled to [low, high] inside ``by``."""
     weights = action_weights(counted, by).select(*by, "action", "weight")
     scored = (
-        counted.join(weights, [*by, "action"])
+        join_groups(counted, weights, [*by, "action"])
         .groupBy(*by, "user_id", "item_id")
         .agg((F.sum(F.col("weight") * F.col("n")) / F.sum("n")).alias("score"))
     )
@@ -75,7 +76,7 @@ def user_item_rating(counted: DataFrame, by: Sequence[str] = PORTAL, low: float
     share = F.coalesce(
         F.try_divide(F.col("score") - F.col("_min"), F.col("_max") - F.col("_min")), F.lit(0.0)
     )
-    return scored.join(spans, list(by)).select(
+    return join_groups(scored, spans, by).select(
         *by, "user_id", "item_id", F.round(low + (high - low) * share, 10).alias("rating")
     )
 
