@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import distributions as dist
+from ..operators.joins import join_groups
 from ..operators.quantiles import quantile_columns
 
 
@@ -85,7 +86,7 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
 def levene(df: DataFrame, group: str, value: str) -> DataFrame:
     """Equality of variances: one-way table of the distances from the group medians."""
     centres = quantile_columns(df, value, {"_median": 0.5}, [group])
-    distances = df.join(centres, group).withColumn("_distance", F.abs(F.col(value) - F.col("_median")))
+    distances = join_groups(df, centres, [group]).withColumn("_distance", F.abs(F.col(value) - F.col("_median")))
     return anova_oneway(distances, group, "_distance")
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_groups
 from ..operators.ordering import running_total
 
 
@@ -83,14 +84,14 @@ def average_precision(df: DataFrame, label: str, score: str, by: Sequence[str])
     steps = _threshold_counts(df, label, score, by)
     totals = steps.groupBy(*by).agg(F.max("tp").alias("_positives"))
     gained = F.col("_p") / F.col("_positives") * F.col("tp") / (F.col("tp") + F.col("fp"))
-    return steps.join(totals, list(by)).groupBy(*by).agg(F.sum(gained).alias("average_precision"))
+    return join_groups(steps, totals, by).groupBy(*by).agg(F.sum(gained).alias("average_precision"))
 
 
 def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
     """True and false positive rate at each threshold."""
     steps = _threshold_counts(df, label, score, by)
     totals = steps.groupBy(*by).agg(F.max("tp").alias("positives"), F.max("fp").alias("negatives"))
-    return steps.join(totals, list(by)).select(
+    return join_groups(steps, totals, by).select(
         *by, score, (F.col("tp") / F.col("positives")).alias("tpr"), (F.col("fp") / F.col("negatives")).alias("fpr"),
         "_p", "_n", "positives", "negatives", "tp",
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays
+from ..operators.joins import join_groups
 from ..sources.tables import Tables
 from .registry import query
 
@@ -172,6 +173,6 @@ def vector_distance(t: Tables) -> DataFrame:
     means = vectors.select("label", F.posexplode("e").alias("at", "x")).groupBy("label", "at").agg(F.avg("x").alias("m"))
     centres = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("at", "m"))).alias("c")).select("label", F.col("c.m").alias("c"))
     e, c = F.col("e"), F.col("c")
-    return vectors.join(centres, "label").select(
+    return join_groups(vectors, centres, ["label"]).select(
         "vec_id", "label", F.round(arrays.euclidean(e, c), 5).alias("distance"), F.round(arrays.cosine(e, c), 5).alias("cosine")
     )

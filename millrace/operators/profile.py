@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import join_groups
 from .quantiles import melt, quantile_columns
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -97,7 +98,7 @@ def mean_abs_deviation(df: DataFrame, columns: Sequence[str], by: Sequence[str]
     cells = melt(df, columns, by).filter(F.col("value").isNotNull())
     keys = [*by, "column_name"]
     means = cells.groupBy(*keys).agg(F.avg("value").alias("mean"))
-    return cells.join(means, keys).groupBy(*keys).agg(F.avg(F.abs(F.col("value") - F.col("mean"))).alias("mad"))
+    return join_groups(cells, means, keys).groupBy(*keys).agg(F.avg(F.abs(F.col("value") - F.col("mean"))).alias("mad"))
 
 
 def adjusted_skewness(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -159,7 +160,7 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     fenced = boxes.withColumn("low_fence", F.col("q1") - reach).withColumn("high_fence", F.col("q3") + reach)
     inside = (F.col("value") >= F.col("low_fence")) & (F.col("value") <= F.col("high_fence"))
     return (
-        cells.join(fenced, keys)
+        join_groups(cells, fenced, keys)
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
