@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.analysis import classify, hypothesis, models, prep, scores
 from millrace.functions import arrays, distributions, text
 from millrace.operators import ordering, profile, quantiles, shape
+from millrace.operators.joins import join_groups
 from millrace.sources import files, sinks
 
 
@@ -270,3 +271,17 @@ def test_elbow_falls_and_components_share_all_variance(spark):
     table, loadings = models.principal_components(df.select(F.col("v")[0].alias("a"), F.col("v")[1].alias("b")), ["a", "b"])
     assert table["running"].iloc[-1] == pytest.approx(1.0) and table["share"].iloc[0] > 0.9
     assert abs(loadings[0, 0]) > 0.99
+
+
+@pytest.mark.parametrize("limit", [100, 1])
+def test_group_values_join_alike_with_and_without_broadcast(spark, limit):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "g string, n int")
+    groups = spark.createDataFrame([("a", 10), ("b", 20)], "g string, v int")
+    found = join_groups(rows, groups, ["g"], limit)
+    assert sorted(tuple(r) for r in found.collect()) == [("a", 1, 10), ("a", 2, 10), ("b", 3, 20)]
+
+
+def test_every_sql_text_belongs_to_a_query():
+    from millrace.catalog import QUERIES, SQL
+
+    assert set(SQL) <= set(QUERIES) and len(SQL) > 120
