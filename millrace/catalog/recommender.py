@@ -164,7 +164,7 @@ def hybrid_top20(t: Tables) -> DataFrame:
     )
 
 
-# ---- notebooks: ratings in long form, held-out error, one user's suggestions
+# ---- ratings in long form, held-out error, one user's suggestions
 
 SPLIT_SQL = """
 split_ratings AS (
