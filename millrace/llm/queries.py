@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
-from . import license_scan, quality, secret_scan, url_filter
+from . import (
+    decontamination,
+    language,
+    license_scan,
+    packing,
+    quality,
+    records,
+    secret_scan,
+    toxicity,
+    url_filter,
+)
 
 URL_RULES = [
     ("net", "/", "block"),
@@ -18,6 +28,11 @@ URL_RULES = [
 ]
 
 
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Places of all pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack(Tables(spark, folder).documents)
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in every document, through a ledger that starts empty."""
     found = secret_scan.scan_versions(Tables(spark, folder).documents, secret_scan.Ledger.new(spark))
@@ -31,6 +46,23 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages of all documents, learned from those whose remainder is not 1."""
+    documents = Tables(spark, folder).documents
+    held_out = F.coalesce(language.fold("doc_id", 3) == 1, F.lit(False))
+    model = language.train(documents.filter(language.fold("doc_id", 3) != 1))
+    return language.predict(documents.select("doc_id", held_out.alias("held_out"), "text"), model, ("doc_id", "held_out"))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents, learned from labels whose remainder is not 0."""
+    tables = Tables(spark, folder)
+    model = toxicity.train(tables.documents, tables.labels.filter(language.fold("doc_id", 5) != 0))
+    held_out = F.coalesce(language.fold("doc_id", 5) == 0, F.lit(False))
+    scored = toxicity.score(tables.documents.select("doc_id", held_out.alias("held_out"), "text"), model, ("doc_id", "held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdicts of every document."""
     judged = quality.judge(Tables(spark, folder).documents)
@@ -61,6 +93,25 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("doc_id", "path").join(license_scan.scan(files), "path")
 
 
+def op8_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the ids of all documents as records and read the files back."""
+    place = records.new_folder(spark)
+    records.write(Tables(spark, folder).documents, place)
+    return records.read(spark, place).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows in all documents."""
+    tables = Tables(spark, folder)
+    found = decontamination.scan(tables.documents, tables.benchmark)
+    n_hit = F.expr("aggregate(hits, 0L, (a, h) -> a + h.stop - h.start)")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        F.size("near_items").cast("bigint").alias("n_near_items"),
+    )
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdicts of the fixed rules on every page."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -68,8 +119,13 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_secret_scan": op2_secret_scan,
+    "op3_language_id": op3_language_id,
+    "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_license_scan": op7_license_scan,
+    "op8_token_records": op8_token_records,
+    "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
 }
