@@ -19,8 +19,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..session import shared_folder
+from .schemas import extended
+from .words import words
 
 WINDOW = 10
 WORDS_PER_SHARD = 1_000_000
@@ -30,16 +33,6 @@ CANDIDATES_PER_STEP = 1_000_000
 #: The terms and windows of a search are sent to all tasks; more words than these are refused.
 MAX_BENCHMARK_WORDS = 20_000_000
 
-# Words are digits, letters in lower case and everything beyond ASCII; all else becomes a space.
-TABLE = bytes(
-    b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 0x20 for b in range(256)
-)
-
-
-def words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").translate(TABLE).split()
-
-
 class Windows:
     """All different windows of the benchmark and the items that hold them."""
 
@@ -113,9 +106,9 @@ def index(documents: DataFrame, terms: dict[bytes, int], keep: Sequence[str] = (
             names=["shard", "term", "n", "places", "docs"],
         )
 
-    kinds = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
     folder = f"{shared_folder(spark)}/postings-{uuid.uuid4().hex}"
-    schema = f"shard bigint, term int, n bigint, places binary, docs array<struct<{kinds}, n_words: bigint>>"
+    docs = ArrayType(extended(chosen.schema.fields[:-1], "n_words bigint"))
+    schema = extended([], "shard bigint, term int, n bigint, places binary").add("docs", docs)
     chosen.mapInArrow(post, schema).write.parquet(folder)
     return spark.read.schema(schema).parquet(folder)
 
@@ -212,10 +205,8 @@ def search(postings: DataFrame, benchmark: Windows, near: int = 2) -> DataFrame:
             found[d].update(owners[w])
         return found
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.fields)
-    return postings.groupBy("shard").applyInPandas(
-        answer, f"{kinds}, hits array<struct<start:int,stop:int>>, items array<string>, near_items array<string>"
-    )
+    found = "hits array<struct<start:int,stop:int>>, items array<string>, near_items array<string>"
+    return postings.groupBy("shard").applyInPandas(answer, extended(docs.fields, found))
 
 
 def scan(

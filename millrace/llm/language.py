@@ -19,9 +19,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .schemas import extended
+
 ROWS_PER_LANGUAGE = 500
 ORDER = 4
 #: Words whose costs a task remembers; all are forgotten at once when there are more.
@@ -125,8 +127,6 @@ class Coder:
 
 def sample(documents: DataFrame, lang: str, text: str, rows_per_language: int) -> DataFrame:
     """Up to ``rows_per_language`` different texts of each language, those with the smallest hashes."""
-    from pyspark.sql import Window
-
     known = documents.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("hash")
     )
@@ -198,8 +198,7 @@ def predict(documents: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",
             kept = batch.select(list(range(last)))
             yield pa.RecordBatch.from_arrays([*kept.columns, *columns], names=[*kept.schema.names, "lang_pred", "score"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(judge, f"{kinds}, lang_pred string, score double")
+    return chosen.mapInArrow(judge, extended(chosen.schema.fields[:-1], "lang_pred string, score double"))
 
 
 def fold(doc_id: str, folds: int) -> Column:

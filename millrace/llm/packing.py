@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
+from .schemas import extended
 from .tokens import WordEncoder, vocabulary
 
 PIECES_PER_SLICE = 50_000
@@ -225,8 +226,7 @@ def pieces(
             [*kept.take(pa.array(rows, pa.int64())).columns, *columns], names=[*kept.schema.names, "piece", "start", "ids"]
         )
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(encode, f"{kinds}, piece int, start bigint, ids binary")
+    return chosen.mapInArrow(encode, extended(chosen.schema.fields[:-1], "piece int, start bigint, ids binary"))
 
 
 def place(items: DataFrame, order: Sequence[str], capacity: int = 2048, length: str = "length") -> DataFrame:
@@ -265,8 +265,7 @@ def place(items: DataFrame, order: Sequence[str], capacity: int = 2048, length:
             nth = rank - low[at]
             yield batch[columns].assign(sequence_id=first[at] + nth // each[at], offset=offset[at] + nth % each[at] * size)
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema.fields)
-    return ranked.mapInPandas(find, f"{kinds}, sequence_id bigint, offset bigint")
+    return ranked.mapInPandas(find, extended(items.schema.fields, "sequence_id bigint, offset bigint"))
 
 
 def pack(

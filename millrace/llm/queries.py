@@ -12,6 +12,7 @@ from . import (
     decontamination,
     language,
     license_scan,
+    near_dup,
     packing,
     quality,
     records,
@@ -54,6 +55,11 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(documents.select("doc_id", held_out.alias("held_out"), "text"), model, ("doc_id", "held_out"))
 
 
+def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of near-duplicate documents."""
+    return near_dup.classified(Tables(spark, folder).documents)
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all documents, learned from labels whose remainder is not 0."""
     tables = Tables(spark, folder)
@@ -122,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_secret_scan": op2_secret_scan,
     "op3_language_id": op3_language_id,
+    "op4_order_minhash": op4_order_minhash,
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_license_scan": op7_license_scan,

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
+from .schemas import extended
 
 #: Bounds of what is fitted: labelled rows, hash buckets for n-grams, features, and words a task remembers.
 MAX_ROWS, BUCKETS, FEATURES, REMEMBERED = 20_000, 1 << 18, 2048, 400_000
@@ -187,5 +188,4 @@ def score(documents: DataFrame, model: Model | None, keep: Sequence[str] = ("doc
             scores = pa.array(1 / (1 + np.exp(-np.clip(sums, -500, 500))), pa.float64())
             yield pa.RecordBatch.from_arrays([*kept.columns, scores], names=[*kept.schema.names, "score"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(judge, f"{kinds}, score double")
+    return chosen.mapInArrow(judge, extended(chosen.schema.fields[:-1], "score double"))
