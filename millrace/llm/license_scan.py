@@ -100,14 +100,15 @@ def parent(path: Column) -> Column:
 
 
 def scan(
-    files: DataFrame, templates: Mapping[str, str] = TEMPLATES, path: str = "path", text: str = "text", least: float = 0.5
+    files: DataFrame, templates: Mapping[str, str] = TEMPLATES, path: str = "path", text: str = "text",
+    least: float = 0.5, file_least: float = 0.9,
 ) -> DataFrame:
     """``path, own, cosine, inherited, source``: a row for every distinct path that is not null.
 
     ``own`` is the licence of the file's closest statement with a cosine of at least ``least``,
     else null; ``cosine`` that cosine. ``inherited`` is what the nearest directory at or above
-    gives through a licence file (by name, or a file that as a whole is close to a template),
-    set only where ``own`` is null; ``source`` is that file. Of several licence files in a
+    gives through a licence file (by name, or a file whose whole text has a cosine of at least
+    ``file_least``), set only where ``own`` is null; ``source`` is that file. Of several licence files in a
     directory the closest statement counts, then the smaller path. Several texts of one path
     count as one file. Null and empty texts have no statement of their own but inherit.
     """
@@ -116,7 +117,7 @@ def scan(
     own = close.groupBy("path").agg(
         F.max("cosine").alias("cosine"),
         F.min_by("licence", F.struct(-F.col("cosine"), F.col("licence"))).alias("own"),
-        F.max(F.col("unit") == 0).alias("whole"),
+        F.max((F.col("unit") == 0) & (F.col("cosine") >= file_least)).alias("whole"),
     )
     covering = (
         own.filter(F.col("whole") | F.col("path").rlike(LICENCE_FILE))

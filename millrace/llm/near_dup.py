@@ -110,7 +110,7 @@ def banded(a: np.ndarray, b: np.ndarray, band: int) -> int:
     far = len(a) + len(b) + 1
     slots = np.arange(2 * band + 1)
     row = np.where(slots >= band, slots - band, far)  # slot s of row i is column i + s - band
-    padded = np.concatenate([np.zeros(band + 1, b.dtype), b, np.zeros(band + 1, b.dtype)])
+    padded = np.concatenate([np.zeros(band + 1, b.dtype), b, np.zeros(band + 1 + max(0, len(a) - len(b)), b.dtype)])
     for i in range(1, len(a) + 1):
         columns = slots + (i - band)
         same = padded[i : i + 2 * band + 1] == a[i - 1]

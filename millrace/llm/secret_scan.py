@@ -101,19 +101,19 @@ def _placed(scan: Column, names: Sequence[str]) -> Column:
 
 
 def scan(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Read each blob for the rules named in its ``todo``; ``scans`` has an entry for each of them, found or not.
+    """Read ``_text`` of each blob for the rules named in its ``todo``; ``scans`` has an entry for each of them, found or not.
 
     ``split`` gives what lies between the matches, so the lengths of both add up to the places of
     the matches in code points. A text without a match costs one pass of the pattern.
     """
     cut = blobs
     for i, rule in enumerate(rules):
-        asked = F.array_contains("todo", rule.name) & F.col("text").rlike(rule.pattern)
+        asked = F.array_contains("todo", rule.name) & F.col("_text").rlike(rule.pattern)
         pattern = F.lit(rule.pattern)
-        cut = cut.withColumn(f"_all{i}", F.when(asked, F.regexp_extract_all("text", pattern, F.lit(0))))
-        cut = cut.withColumn(f"_part{i}", F.when(asked, F.regexp_extract_all("text", pattern, F.lit(rule.group))))
-        cut = cut.withColumn(f"_gaps{i}", F.when(asked, F.split("text", rule.pattern)))
-    done = cut.drop("text")
+        cut = cut.withColumn(f"_all{i}", F.when(asked, F.regexp_extract_all("_text", pattern, F.lit(0))))
+        cut = cut.withColumn(f"_part{i}", F.when(asked, F.regexp_extract_all("_text", pattern, F.lit(rule.group))))
+        cut = cut.withColumn(f"_gaps{i}", F.when(asked, F.split("_text", rule.pattern)))
+    done = cut.drop("_text")
     for i, rule in enumerate(rules):
         step = (
             f"aggregate(sequence(0, size(_all{i}) - 1), struct(0 AS at, CAST(array() AS {SPANS}) AS spans), (a, k) -> struct("
@@ -143,15 +143,15 @@ def scan_versions(
     separate rows. One text for each blob crosses the shuffle: copies meet in the map tasks
     first. Blobs and pairs already in the ledger are not read again; new ones are added to it.
     """
-    addressed = versions.select(*keep, F.coalesce(text, F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256))
+    addressed = versions.select(*keep, F.coalesce(text, F.lit("")).alias("_text")).withColumn("blob", F.sha2("_text", 256))
     names = F.array(*[F.lit(r.name) for r in rules])
-    blobs = addressed.groupBy("blob").agg(F.first("text").alias("text"))
+    blobs = addressed.groupBy("blob").agg(F.first("_text").alias("_text"))
     unseen = (
         blobs.join(ledger.seen(), "blob", "left")
         .withColumn("todo", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))))
         .filter(F.size("todo") > 0)
     )
-    scan(unseen.select("blob", "text", "todo"), rules).write.mode("append").parquet(ledger.folder)
+    scan(unseen.select("blob", "_text", "todo"), rules).write.mode("append").parquet(ledger.folder)
     return (
         addressed.select(*keep, "blob")
         .join(ledger.found(rules), "blob", "left")
