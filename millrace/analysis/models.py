@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.feature import CountVectorizer, NGram, RegexTokenizer, StopWordsRemover, VectorAssembler
+from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, StopWordsRemover, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -27,6 +27,12 @@ from ..operators.profile import covariances
 from ..functions.stopwords import ENGLISH
 
 
+#: The deepest tree that MLlib grows, and the thresholds that a continuous feature gets from the rows.
+MAX_DEPTH, BINS = 30, 256
+#: Buckets of hashed terms.
+TERM_BUCKETS = 1 << 15
+
+
 def assembled(df: DataFrame, features: Sequence[str], output: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=output).transform(df)
 
@@ -40,12 +46,20 @@ def logistic(rows: int, label: str = "label", **settings) -> LogisticRegression:
     return LogisticRegression(labelCol=label, regParam=1.0 / max(rows, 1), standardization=False, **settings)
 
 
-def decision_tree(depth: int = 30, leaf: int = 1, label: str = "label") -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(labelCol=label, impurity="entropy", maxDepth=depth, minInstancesPerNode=leaf, seed=1)
+def decision_tree(depth: int = MAX_DEPTH, leaf: int = 1, label: str = "label", bins: int = BINS) -> DecisionTreeClassifier:
+    """Splits by entropy. A feature has at most ``bins`` - 1 thresholds: all of them if it has fewer values."""
+    return DecisionTreeClassifier(
+        labelCol=label, impurity="entropy", maxDepth=depth, minInstancesPerNode=leaf, maxBins=bins, seed=1
+    )
 
 
-def random_forest(trees: int = 21, per_split: str = "1", label: str = "label") -> RandomForestClassifier:
-    return RandomForestClassifier(labelCol=label, impurity="entropy", numTrees=trees, featureSubsetStrategy=per_split, seed=1)
+def random_forest(
+    trees: int = 21, per_split: str = "1", label: str = "label", depth: int = MAX_DEPTH, bins: int = BINS
+) -> RandomForestClassifier:
+    """Splits by Gini impurity, grown to ``depth``."""
+    return RandomForestClassifier(
+        labelCol=label, impurity="gini", numTrees=trees, featureSubsetStrategy=per_split, maxDepth=depth, maxBins=bins, seed=1
+    )
 
 
 def linear(label: str = "label") -> LinearRegression:
@@ -134,16 +148,22 @@ def fold_scores(df: DataFrame, order: Sequence[str], folds: int, estimator) -> D
     return first
 
 
-def term_vectors(train: DataFrame, df: DataFrame, text: str, min_df: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Counts of words and word pairs as sparse vectors; the vocabulary comes from ``train``."""
+def converged(model, most: int):
+    """``model``, if its fit ended by tolerance before ``most`` iterations; raises otherwise."""
+    if model.summary.totalIterations >= most:
+        raise ValueError(f"no convergence within {most} iterations")
+    return model
+
+
+def term_vectors(df: DataFrame, text: str, buckets: int = TERM_BUCKETS) -> DataFrame:
+    """Counts of hashed words and word pairs as sparse vectors.
+
+    Terms are hashed, so no vocabulary has to pass through the driver; terms of one bucket share a place.
+    """
     words = RegexTokenizer(inputCol=text, outputCol="_raw", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False)
     kept = StopWordsRemover(inputCol="_raw", outputCol="_words", stopWords=list(ENGLISH))
     pairs = NGram(n=2, inputCol="_words", outputCol="_pairs")
 
-    def terms(rows: DataFrame) -> DataFrame:
-        split = pairs.transform(kept.transform(words.transform(rows)))
-        return split.withColumn("_terms", F.concat("_words", "_pairs")).drop("_raw", "_words", "_pairs")
-
-    # room for every term: the default size would drop the rarer ones
-    counter = CountVectorizer(inputCol="_terms", outputCol="features", minDF=min_df, vocabSize=2**30).fit(terms(train))
-    return counter.transform(terms(train)).drop("_terms"), counter.transform(terms(df)).drop("_terms")
+    split = pairs.transform(kept.transform(words.transform(df)))
+    terms = split.withColumn("_terms", F.concat("_words", "_pairs")).drop("_raw", "_words", "_pairs")
+    return HashingTF(inputCol="_terms", outputCol="features", numFeatures=buckets).transform(terms).drop("_terms")

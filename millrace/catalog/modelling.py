@@ -244,10 +244,10 @@ def logreg_eval(t: Tables) -> DataFrame:
 
 @query("dtree_eval")
 def dtree_eval(t: Tables) -> DataFrame:
-    """Unlimited depth, depth 1, and leaves of at least 8 rows."""
+    """As deep as MLlib grows a tree, depth 1, and leaves of at least 8 rows."""
     found = [
         evaluated(t, lambda _, d=depth, n=leaf: models.decision_tree(d, n)).withColumn("tree", F.lit(name))
-        for name, depth, leaf in (("deep", 30, 1), ("stump", 1, 1), ("leaf_8", 30, 8))
+        for name, depth, leaf in (("deep", models.MAX_DEPTH, 1), ("stump", 1, 1), ("leaf_8", models.MAX_DEPTH, 8))
     ]
     return found[0].unionByName(found[1]).unionByName(found[2])
 
@@ -271,9 +271,9 @@ def mlp_eval(t: Tables) -> DataFrame:
 
 @query("kfold_scores")
 def kfold_scores(t: Tables) -> DataFrame:
-    """Ten contiguous folds, with the mean and population deviation of their accuracies."""
+    """Ten contiguous folds of a forest, with the mean and population deviation of their accuracies."""
     rows = models.from_array(vectors(t), "vector").select("vec_id", F.col("label").cast("double").alias("label"), "features")
-    folds = cut(models.fold_scores(rows, ["vec_id"], 10, models.decision_tree(5)))
+    folds = cut(models.fold_scores(rows, ["vec_id"], 10, models.random_forest(20)))
     summary = folds.agg(F.avg("accuracy").alias("mean"), F.stddev_pop("accuracy").alias("deviation")).withColumn("_one", F.lit(1))
     return folds.withColumn("_one", F.lit(1)).join(summary, "_one").drop("_one")
 
@@ -345,10 +345,11 @@ def kmeans_elbow(t: Tables) -> DataFrame:
 
 @query("kmeans_assign")
 def kmeans_assign(t: Tables) -> DataFrame:
-    """Four groups and the box numbers of a measure in each."""
+    """Four groups and the box numbers of every measure in each."""
     grouped = models.kmeans_groups(models.from_array(vectors(t), "vector"), 4)
-    first = F.col("vector")[0]
-    return profile.box_stats(cut(grouped.select("cluster", first.alias("x_1"))), ["x_1"], ["cluster"])
+    names = [f"x_{i + 1}" for i in range(64)]
+    measures = grouped.select("cluster", *[F.col("vector")[i].alias(n) for i, n in enumerate(names)])
+    return profile.box_stats(cut(measures), names, ["cluster"])
 
 
 @query("bisecting_groups")
@@ -375,19 +376,21 @@ def pca_project(t: Tables) -> DataFrame:
     return projected.select("l_orderkey", "l_linenumber", "pc_1", "pc_2")
 
 
+#: When a fit has converged; one that needs as many steps is an error, not a result.
+TOLERANCE, MOST_STEPS = 1e-4, 1000
+
+
 @query("multilabel_eval")
 def multilabel_eval(t: Tables) -> DataFrame:
     """One logistic model per label over words and word pairs; predicted and true label names per text."""
     rows = t.documents.select("doc_id", "text").join(t.labels, "doc_id").withColumn("held", hash_unit("doc_id") < HELD)
     rows = cut(rows.withColumn("text", texts.clean_long_text(F.col("text"))))
-    train, test = split(rows)
-    train, test = models.term_vectors(train, test, "text")
-    train, test = cut(train), cut(test)
+    train, test = (cut(models.term_vectors(part, "text")) for part in split(rows))
     size = train.count()
     names = ["quality", "toxic"]
     for name in names:
-        model = models.logistic(size, name, maxIter=30, predictionCol=f"{name}_predicted").setProbabilityCol("").setRawPredictionCol("").fit(train)
-        test = model.transform(test)
+        fitted = models.logistic(size, name, maxIter=MOST_STEPS, tol=TOLERANCE, predictionCol=f"{name}_predicted").fit(train)
+        test = models.converged(fitted, MOST_STEPS).transform(test).drop("probability", "rawPrediction")
     listed = lambda suffix: F.filter(
         F.array(*[F.when(F.col(f"{n}{suffix}") == 1, F.lit(n)) for n in names]), lambda x: x.isNotNull()
     )

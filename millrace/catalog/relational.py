@@ -145,9 +145,25 @@ def low_variance_cols(t: Tables) -> DataFrame:
     return profile.long_row(wide, {c: [("variance", r6(F.col(c)))] for c in names})
 
 
-@query("drop_id_cols", "SELECT c_nationkey, c_acctbal, c_mktsegment FROM customer")
+CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+@query(
+    "drop_id_cols",
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS rows, count(DISTINCT {c}) AS different, count(DISTINCT {c}) = count(*) AS is_identifier FROM customer"
+        for c in CUSTOMER_COLUMNS
+    ),
+)
 def drop_id_cols(t: Tables) -> DataFrame:
-    return t.customer.drop(*profile.identifier_columns(t.customer.drop("c_acctbal")))
+    """Every column with its different values; identifiers are those that :func:`profile.identifier_columns` drops."""
+    dropped = profile.identifier_columns(t.customer)
+    return profile.column_profile(t.customer).select(
+        "column_name",
+        F.col("row_count").alias("rows"),
+        F.col("distinct_values").alias("different"),
+        F.col("column_name").isin(dropped).alias("is_identifier"),
+    )
 
 
 @query(

@@ -9,17 +9,27 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
-def join_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Inner join of ``df`` with a few narrow rows, one per ``keys``.
+def text_bytes(df: DataFrame) -> int:
+    """Bytes of all rows written as JSON, an upper guide to what a broadcast of them holds."""
+    return df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0))).first()[0]
 
-    The groups are computed first and counted. Up to ``limit`` of them are broadcast, so the
-    large side is not shuffled onto a key that may hold a third of it. More groups than that
-    are joined by key in the ordinary way, where adaptive execution splits skewed ones.
-    """
+
+def sized(groups: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``groups``, computed and measured; marked for broadcast if they are small."""
     groups = cut(groups)
-    if groups.limit(limit + 1).count() <= limit:
-        groups = F.broadcast(groups)
-    return df.join(groups, list(keys))
+    return F.broadcast(groups) if text_bytes(groups) <= limit else groups
+
+
+def join_groups(
+    df: DataFrame, groups: DataFrame, keys: Sequence[str], limit: int = BROADCAST_BYTES, how: str = "inner"
+) -> DataFrame:
+    """Join of ``df`` with one row per ``keys``.
+
+    The groups are computed first and measured. Up to ``limit`` bytes of them are broadcast, so
+    the large side is not shuffled onto a key that may hold a third of it. Larger ones are joined
+    by key in the ordinary way, where adaptive execution splits skewed keys.
+    """
+    return df.join(sized(groups, limit), list(keys), how)

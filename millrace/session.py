@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,21 +48,33 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor can reach: the checkpoint folder of this application."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-")
-        )
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="millrace-"))
     return context.getCheckpointDir()
 
 
-def bucketed(df: DataFrame, keys: list[str]) -> DataFrame:
+class Bucketed(NamedTuple):
+    """Rows that lie in hash buckets, under a name in the session's catalog."""
+
+    rows: DataFrame
+    name: str
+
+    def release(self) -> None:
+        """Take the name out of the catalog once nothing will read the rows again; the files stay in the shared folder."""
+        self.rows.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+def bucketed(df: DataFrame, keys: list[str]) -> Bucketed:
     """Write ``df`` to the shared folder in hash buckets of ``keys``.
 
     Joins and groupings on the same keys then read it in place, as often as they like.
-    The number of buckets follows the rows, up to the shuffle width of the cluster.
+    The number of buckets follows the rows, so their size does not grow.
     """
     spark = df.sparkSession
     name = f"millrace_{uuid.uuid4().hex}"
-    width = max(1, min(shuffle_width(df), -(-df.count() // ROWS_PER_BUCKET)))
+    width = max(1, -(-df.count() // ROWS_PER_BUCKET))
     (
         df.repartition(width, *keys)
         .write.format("parquet")
@@ -70,4 +83,4 @@ def bucketed(df: DataFrame, keys: list[str]) -> DataFrame:
         .sortBy(*keys)
         .saveAsTable(name)
     )
-    return spark.table(name)
+    return Bucketed(spark.table(name), name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,14 +28,27 @@ def write_csv(df: DataFrame, path: str, header: bool = True, **options: str) ->
 
 
 def read_second_line_header(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame:
-    """Files whose first line is a title and whose second line names the columns."""
+    """Files whose first line is a title and whose second line names the columns.
+
+    The second line is the first that equals the names; later lines that equal them are data.
+    """
     wanted = T.StructType.fromDDL(schema)
     raw = ", ".join(f"`{f.name}` string" for f in wanted)
     rows = read_csv(spark, path, raw, header=True, **options)
     is_header = F.lit(True)
     for field in wanted:
         is_header &= F.col(field.name).eqNullSafe(field.name)
-    return rows.filter(~is_header).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
+    placed = rows.select(
+        *[F.col(f.name) for f in wanted],
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    # lines like the header are few: one for each file, and what repeats it
+    first = Window.partitionBy("_file").orderBy("_block", "_line")
+    repeats = placed.filter(is_header).withColumn("_nth", F.row_number().over(first)).filter("_nth > 1").drop("_nth")
+    kept = placed.filter(~is_header).unionByName(repeats)
+    return kept.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def bad_line_counts(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame:

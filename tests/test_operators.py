@@ -273,7 +273,7 @@ def test_elbow_falls_and_components_share_all_variance(spark):
     assert abs(loadings[0, 0]) > 0.99
 
 
-@pytest.mark.parametrize("limit", [100, 1])
+@pytest.mark.parametrize("limit", [10_000, 1])
 def test_group_values_join_alike_with_and_without_broadcast(spark, limit):
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "g string, n int")
     groups = spark.createDataFrame([("a", 10), ("b", 20)], "g string, v int")
@@ -285,3 +285,38 @@ def test_every_sql_text_belongs_to_a_query():
     from millrace.catalog import QUERIES, SQL
 
     assert set(SQL) <= set(QUERIES) and len(SQL) > 120
+
+
+@pytest.mark.parametrize("df", [1e6, 1e8, 1e12])
+def test_tails_at_very_many_degrees_of_freedom(df):
+    # limits with their first corrections: the median of chi-square, symmetric F, and the normal and chi-square limits
+    assert distributions.chi2_tail(df, df) == pytest.approx(0.5 - 1 / (3 * math.sqrt(math.pi * df)), abs=1e-10)
+    assert distributions.f_tail(1.0, df, df) == pytest.approx(0.5, abs=1e-12)
+    assert distributions.t_two_sided(2.0, df) == pytest.approx(math.erfc(math.sqrt(2)), abs=1 / df + 1e-12)
+    assert distributions.f_tail(2.0, 4, df) == pytest.approx(5 * math.exp(-4), abs=1 / df + 1e-12)
+    assert distributions.t_critical(df) == pytest.approx(1.959963984540054, abs=3 / df + 1e-9)
+
+
+def test_tails_against_sums():
+    for k, x in ((40, 70.0), (2000, 2100.0), (30_000, 29_000.0)):
+        exact = math.fsum(math.exp(i * math.log(x / 2) - x / 2 - math.lgamma(i + 1)) for i in range(k // 2))
+        assert distributions.chi2_tail(x, k) == pytest.approx(exact, rel=1e-9)
+    assert distributions.t_two_sided(-3.0, 1) == pytest.approx(1 - 2 * math.atan(3.0) / math.pi, rel=1e-12)
+    assert distributions.t_two_sided(0.0, 5) == distributions.f_tail(0.0, 2, 3) == distributions.chi2_tail(0.0, 2) == 1.0
+    assert distributions.chi2_tail(2e4, 2) == pytest.approx(0.0, abs=1e-300)
+
+
+def test_second_line_header_goes_and_its_repeats_stay(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Report;;\nk;v\n1;x\nk;v\n2;y\n")
+    (tmp_path / "b.csv").write_text("Other;;\nk;v\n3;z\n")
+    found = files.read_second_line_header(spark, str(tmp_path), "k string, v string", sep=";").collect()
+    assert sorted(map(tuple, found)) == [("1", "x"), ("2", "y"), ("3", "z"), ("k", "v")]
+
+
+def test_chi_square_needs_only_cells_with_rows(spark):
+    rows = [("a", "x")] * 5 + [("a", "y")] * 2 + [("b", "x")] + [("c", "z")] * 4 + [(None, "x"), ("a", None)]
+    df = spark.createDataFrame(rows, "g string, h string")
+    grid = hypothesis.contingency(df, "g", "h").collect()
+    found = hypothesis.chi_square(df, "g", "h").first()
+    assert found["chi2"] == pytest.approx(sum((r["observed"] - r["expected"]) ** 2 / r["expected"] for r in grid))
+    assert found["df"] == 4.0

@@ -275,3 +275,15 @@ def test_overall_averages_group_means(spark):
     found = {r.measure: r.test_users for r in evaluation.overall(wide, "portal").collect()}
     assert found["precision_5"] == pytest.approx((0.3 + 0.9) / 2)
     assert found["PULL"] == 6
+
+
+def test_salted_keys_give_the_same_baselines_and_leave_no_table(spark, monkeypatch):
+    rated = rating_table(spark, random_ratings())
+    before = {t.name for t in spark.catalog.listTables()}
+    plain = [sorted(map(tuple, part.collect())) for part in collaborative.baselines(rated)]
+    monkeypatch.setattr(collaborative, "CELLS_PER_SALT", 3)
+    salted = [sorted(map(tuple, part.collect())) for part in collaborative.baselines(rated)]
+    for one, other in zip(plain, salted):
+        assert [r[:2] for r in one] == [r[:2] for r in other]
+        assert all(a[2:] == pytest.approx(b[2:], abs=1e-9) for a, b in zip(one, other))
+    assert {t.name for t in spark.catalog.listTables()} == before
