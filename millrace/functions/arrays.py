@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import sized
+
+#: Cells of an inner index of a matrix product in one task.
+CELLS_PER_SALT = 10_000
+
 
 def total(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
@@ -71,7 +76,17 @@ def identity(matrix: DataFrame) -> DataFrame:
 
 
 def product(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Matrix product in long form: join on the inner index, sum map-side."""
+    """Matrix product in long form: join on the inner index, sum map-side.
+
+    An inner index with n cells on the left and m on the right makes n * m products. Those with
+    many cells on the left are cut into salts of bounded size, each of which meets a copy of the
+    right cells.
+    """
     left = a.select("i", F.col("j").alias("_k"), F.col("v").alias("_a"))
     right = b.select(F.col("i").alias("_k"), "j", F.col("v").alias("_b"))
-    return left.join(right, "_k").groupBy("i", "j").agg(F.sum(F.col("_a") * F.col("_b")).alias("v"))
+    sizes = left.groupBy("_k").agg(F.ceil(F.count("*") / CELLS_PER_SALT).cast("int").alias("_salts"))
+    hot = sized(sizes.filter("_salts > 1"))
+    salts = F.coalesce("_salts", F.lit(1))
+    left = left.join(hot, "_k", "left").withColumn("_salt", F.pmod(F.xxhash64("i"), salts).cast("int")).drop("_salts")
+    right = right.join(hot, "_k", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return left.join(right, ["_k", "_salt"]).groupBy("i", "j").agg(F.sum(F.col("_a") * F.col("_b")).alias("v"))

@@ -320,3 +320,17 @@ def test_chi_square_needs_only_cells_with_rows(spark):
     found = hypothesis.chi_square(df, "g", "h").first()
     assert found["chi2"] == pytest.approx(sum((r["observed"] - r["expected"]) ** 2 / r["expected"] for r in grid))
     assert found["df"] == 4.0
+
+
+def test_hot_inner_index_of_a_product_is_salted(spark, monkeypatch):
+    a = [(i, k, float(i + k)) for i in range(12) for k in range(3) if (i + k) % 3 or k == 1]
+    b = [(k, j, float(k - j)) for k in range(3) for j in range(5)]
+    frames = [spark.createDataFrame(m, "i bigint, j bigint, v double") for m in (a, b)]
+    wanted = {}
+    for i, k, x in a:
+        for m, j, y in b:
+            if k == m:
+                wanted[i, j] = wanted.get((i, j), 0.0) + x * y
+    for cells in (10_000, 2):
+        monkeypatch.setattr(arrays, "CELLS_PER_SALT", cells)
+        assert {(r["i"], r["j"]): r["v"] for r in arrays.product(*frames).collect()} == wanted
