@@ -81,10 +81,7 @@ def sketch(hashes: np.ndarray, keys: np.ndarray, per_element: int = RUNS_PER_ELE
 
 
 def edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Word edits between two texts if at most ``most``, else ``most + 1``.
-
-    The band around the diagonal is doubled until the distance lies within it.
-    """
+    """Word edits between two texts if at most ``most``, else something larger."""
     if abs(len(a) - len(b)) > most:
         return most + 1
     shorter = min(len(a), len(b))
@@ -94,34 +91,43 @@ def edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
     shorter = min(len(a), len(b))
     apart = np.flatnonzero(a[::-1][:shorter] != b[::-1][:shorter])
     tail = int(apart[0]) if len(apart) else shorter
-    a, b = a[: len(a) - tail], b[: len(b) - tail]
-    if not len(a) or not len(b):
-        return len(a) + len(b)
-    band = max(16, abs(len(a) - len(b)) + 1)
-    while True:
-        found = banded(a, b, min(band, most))
-        if found <= min(band, most) or band >= most:
-            return min(found, most + 1)
-        band *= 2
-
-
-def banded(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """The edit distance if it is at most ``band``, else something larger."""
-    far = len(a) + len(b) + 1
-    slots = np.arange(2 * band + 1)
-    row = np.where(slots >= band, slots - band, far)  # slot s of row i is column i + s - band
-    padded = np.concatenate([np.zeros(band + 1, b.dtype), b, np.zeros(band + 1 + max(0, len(a) - len(b)), b.dtype)])
-    for i in range(1, len(a) + 1):
-        columns = slots + (i - band)
-        same = padded[i : i + 2 * band + 1] == a[i - 1]
-        across = row + ~same
-        above = np.append(row[1:], far) + 1
-        here = np.minimum(across, above)
-        here = np.where(columns == 0, i, here)
-        here = np.where((columns < 0) | (columns > len(b)), far, here)
-        row = np.minimum.accumulate(here - slots) + slots
-        row = np.where((columns < 0) | (columns > len(b)), far, row)
-    return int(row[len(b) - len(a) + band])
+    a, b = a[: len(a) - tail].tolist(), b[: len(b) - tail].tolist()
+    return banded(*sorted((a, b), key=len, reverse=True), most)
+
+
+def banded(longer: Sequence[int], shorter: Sequence[int], most: int) -> int:
+    """Edit distance by a band of ``most`` cells on either side of the diagonal, exact if at most ``most``.
+
+    A column of the band is two bit strings, for the cells that are one more and one less than the
+    cell above. They move down a cell with each word (Hyyro 2003, A bit-vector algorithm for
+    computing Levenshtein and Damerau edit distances). The distance is followed along the lower
+    border of the band and then along the last row.
+    """
+    band = min(most, len(longer))
+    width = 2 * band + 2
+    every, lowest = (1 << width) - 1, 1 << (width - 1)
+    places: dict[int, int] = {}
+    for i, word in enumerate(longer):
+        places[word] = places.get(word, 0) | 1 << i
+    more, less = every ^ ((1 << (width - band - 1)) - 1), 0
+    distance, row = band, lowest >> 1
+    shift = band + 1 - width
+    for column, word in enumerate(shorter):
+        here = places.get(word, 0)
+        here = (here >> shift if shift >= 0 else here << -shift) & every
+        free = ((((here & more) + more) ^ more) | here | less) & every
+        right_more = less | every & ~(free | more)
+        right_less = free & more
+        if column < len(longer) - band:
+            distance += not free & lowest
+        else:
+            distance += bool(right_more & row) - bool(right_less & row)
+            row >>= 1
+        free >>= 1
+        more = right_less | every & ~(free | right_more)
+        less = free & right_more
+        shift += 1
+    return distance
 
 
 def shared_runs(rows: Sequence[np.ndarray], leaders: np.ndarray) -> np.ndarray:
@@ -219,9 +225,10 @@ def find_links(documents: DataFrame, different: DataFrame, keep: str, text: str,
     )
     texts = documents.select(F.col(keep).cast("bigint").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")).withColumn("key", F.md5("text"))
 
+    hashes = Hashes()  # each task gets one of its own
+
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("leader", ascending=False).drop_duplicates("key").sort_values("key")
-        hashes = Hashes()
         own = [hashes.of(t) for t in rows["text"]]
         leaders = np.flatnonzero(rows["leader"].to_numpy())
         found = links_within(rows["key"].tolist(), own, leaders, rows["part"].tolist(), similarity)
