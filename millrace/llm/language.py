@@ -4,8 +4,9 @@ For each language a tree of byte contexts of up to ``order`` bytes is counted on
 frozen. A byte costs -log2 of its share in the longest known context; where that context has
 never been followed by it, the cost of the escape is added and the next shorter context is
 asked, down to all 256 bytes alike. Escapes are weighted by the number of different followers.
-Words are coded one by one, with the space before and after them: contexts never reach over the
-space, so a word costs the same wherever it stands, and repeated words are coded once.
+Words in lower case are coded one by one, with a space before and after them: contexts never reach
+over it, so a word costs the same wherever it stands, and repeated words are coded once. What has
+no letter is not coded.
 The language with the shortest code for the whole text wins.
 """
 
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,11 +24,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .schemas import extended
+from .words import words
 
 ROWS_PER_LANGUAGE = 500
 ORDER = 4
-#: Words whose costs a task remembers; all are forgotten at once when there are more.
-REMEMBERED = 400_000
+#: Words whose costs a worker remembers; all are forgotten at once when there are more.
+REMEMBERED = 800_000
 LONGEST_REMEMBERED = 64
 
 
@@ -58,69 +60,107 @@ class Tree:
             {c: -math.log2(kinds[c] / weight[c]) for c in total},
         )
 
+    def after(self, gram: bytes) -> float:
+        """Bits of the last byte after the others."""
+        cost = 0.0
+        for k in range(len(gram)):
+            known = self.symbols.get(gram[k:])
+            if known is not None:
+                return cost + known
+            cost += self.escapes.get(gram[k:-1], 0.0)
+        return cost + 8.0
+
     def bits(self, word: bytes, order: int) -> float:
-        coded, cost, symbols, escapes = b" " + word + b" ", 0.0, self.symbols, self.escapes
-        for i in range(1, len(coded)):
-            for k in range(max(0, i - order), i + 1):
-                known = symbols.get(coded[k : i + 1])
-                if known is not None:
-                    cost += known
-                    break
-                cost += escapes.get(coded[k:i], 0.0)
-            else:
-                cost += 8.0
-        return cost
+        coded = b" " + word + b" "
+        return sum(self.after(coded[max(0, i - order) : i + 1]) for i in range(1, len(coded)))
 
 
 @dataclass
 class Model:
+    """All trees in one: rows of ``costs`` hold the bits in every language.
+
+    ``symbols`` has the row of every run of bytes that some language knows, with all escapes down
+    to the context that knows its last byte; ``escapes`` that of leaving a context. The last row
+    is the cost of a byte that no language knows.
+    """
+
     languages: list[str]
-    trees: list[Tree]
+    symbols: dict[bytes, int]
+    escapes: dict[bytes, int]
+    costs: np.ndarray
     order: int
 
+    @classmethod
+    def merged(cls, trees: dict[str, Tree], order: int) -> Model:
+        own = list(trees.values())
+        known = sorted({g for t in own for g in t.symbols})
+        contexts = sorted({c for t in own for c in t.escapes})
+        rows = [[t.after(g) for t in own] for g in known]
+        rows += [[t.escapes.get(c, 0.0) for t in own] for c in contexts] + [[8.0] * len(own)]
+        places = {c: len(known) + i for i, c in enumerate(contexts)}
+        return cls(list(trees), {g: i for i, g in enumerate(known)}, places, np.array(rows).reshape(len(rows), len(own)), order)
+
 
-class Coder:
-    """Code lengths of whole texts in all languages."""
+class Coder(dict):
+    """Code lengths of whole texts in all languages; knows the row in ``lengths`` of each word, -1 without a letter."""
 
     def __init__(self, model: Model):
+        super().__init__()
         self.model = model
         self.forget()
 
     def forget(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.costs = np.zeros((1024, len(self.model.trees)))
+        self.clear()
+        self.lengths, self.used = np.zeros((1024, len(self.model.languages))), 0
 
-    def bits(self, word: str) -> list[float]:
-        coded = word.encode("utf-8", "replace")
-        return [t.bits(coded, self.model.order) for t in self.model.trees]
-
-    def row(self, word: str) -> int:
-        at = self.rows[word] = len(self.rows)
-        if at >= len(self.costs):
-            self.costs = np.concatenate([self.costs, np.zeros_like(self.costs)])
-        self.costs[at] = self.bits(word)
-        return at
+    def steps(self, word: bytes) -> list[int]:
+        """Rows of ``costs`` that coding a word adds up."""
+        symbols, escapes, order = self.model.symbols, self.model.escapes, self.model.order
+        coded, found = b" " + word + b" ", []
+        for i in range(1, len(coded)):
+            gram = coded[i - order if i > order else 0 : i + 1]
+            row = symbols.get(gram)
+            while row is None:
+                out = escapes.get(gram[:-1])
+                if out is not None:
+                    found.append(out)
+                gram = gram[1:]
+                row = symbols.get(gram) if gram else -1
+            found.append(row)
+        return found
+
+    def learn(self, new: Iterable[bytes]) -> None:
+        """Remember new words, but for very long ones."""
+        steps, starts = [], []
+        for word in new:
+            if not any(map(str.isalpha, word.decode("utf-8", "replace"))):
+                self[word] = -1
+                continue
+            if len(word) <= LONGEST_REMEMBERED:
+                self[word] = self.used + len(starts)
+                starts.append(len(steps))
+                steps += self.steps(word)
+        if starts:
+            while self.used + len(starts) > len(self.lengths):
+                self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+            self.lengths[self.used : self.used + len(starts)] = np.add.reduceat(self.model.costs[steps], starts)
+            self.used += len(starts)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its share of the likelihood, all languages alike at first; ``und, 0`` without a letter."""
-        words = (text or "").lower().split()
-        spoken = {w: any(map(str.isalpha, w)) for w in set(words)}
-        if not self.model.trees or not any(spoken.values()):
-            return "und", 0.0
-        if len(self.rows) > REMEMBERED:
+        own = words((text or "").lower())
+        if len(self) > REMEMBERED:
             self.forget()
-        total, rows, known = np.zeros(len(self.model.trees)), [], self.rows
-        for word in words:
-            if not spoken[word]:
-                continue
-            at = known.get(word)
-            if at is None:
-                if len(word) > LONGEST_REMEMBERED:
-                    total += self.bits(word)
-                    continue
-                at = self.row(word)
-            rows.append(at)
-        total += self.costs[rows].sum(axis=0)
+        self.learn([w for w in set(own) if w not in self])
+        total = np.zeros(len(self.model.languages))
+        long = [w for w in own if len(w) > LONGEST_REMEMBERED and w not in self]
+        for word in long:
+            total += self.model.costs[self.steps(word)].sum(axis=0)
+        rows = np.array([self.get(w, -1) for w in own] if long else [self[w] for w in own], np.int64)
+        rows = rows[rows >= 0]
+        if not self.model.languages or not len(rows) + len(long):
+            return "und", 0.0
+        total += self.lengths[rows].sum(axis=0)
         best = int(total.argmin())
         return self.model.languages[best], float(1 / np.exp2(np.maximum(total[best] - total, -1000)).sum())
 
@@ -152,7 +192,7 @@ def train(
     Rows with a null language or text teach nothing; without any others the model knows no
     language and predicts ``und``. Copies count once.
     """
-    words = (
+    spoken = (
         sample(documents, lang, text, rows_per_language)
         .select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("word"))
         .filter(F.col("word").rlike(r"\p{L}"))
@@ -163,18 +203,18 @@ def train(
         counts: dict[tuple[str, bytes], int] = defaultdict(int)
         for batch in batches:
             for language, word, n in batch.itertuples(index=False):
-                for gram in grams(word.encode("utf-8", "replace"), order):
-                    counts[language, gram] += n
+                for part in words(word):
+                    for gram in grams(part, order):
+                        counts[language, gram] += n
         rows = [(language, gram, n) for (language, gram), n in counts.items()]
         yield pd.DataFrame(rows, columns=["lang", "gram", "n"])
 
-    counted = words.mapInPandas(count, "lang string, gram binary, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = spoken.mapInPandas(count, "lang string, gram binary, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     by_language: dict[str, dict[bytes, int]] = defaultdict(dict)
     # as many contexts as the bounded sample has
     for language, gram, n in counted.collect():
         by_language[language][bytes(gram)] = n
-    languages = sorted(by_language)
-    return Model(languages, [Tree.frozen(by_language[x]) for x in languages], order)
+    return Model.merged({x: Tree.frozen(by_language[x]) for x in sorted(by_language)}, order)
 
 
 def predict(documents: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -185,12 +225,12 @@ def predict(documents: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",
     """
     spark = documents.sparkSession
     chosen = documents.select(*keep, F.col(text).alias("_text"))
-    # plain values, bounded like the sample; tasks need no copy of this package
-    shared = spark.sparkContext.broadcast((model.languages, [(t.symbols, t.escapes) for t in model.trees], model.order))
+    # plain values, bounded like the sample; a worker keeps its coder beside them for its next tasks
+    shared = spark.sparkContext.broadcast({"model": (model.languages, model.symbols, model.escapes, model.costs, model.order)})
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages, trees, order = shared.value
-        coder = Coder(Model(languages, [Tree(*t) for t in trees], order))
+        own = shared.value
+        coder = own["coder"] if "coder" in own else own.setdefault("coder", Coder(Model(*own["model"])))
         for batch in batches:
             last = batch.num_columns - 1
             found = [coder.predict(t.as_py()) for t in batch.column(last)]
