@@ -3,7 +3,8 @@
 A record is an 8-byte length, the masked checksum of these 8 bytes, the payload, and the masked
 checksum of the payload; all numbers are little-endian. Checksums are CRC-32, rotated right by
 15 bits and raised by a constant, so that data holding checksums does not check out by itself.
-The payload is one byte (1 if the document has an id), the 8-byte id, and 4 bytes for each token.
+The payload is one byte, the 8-byte id, and the tokens. The byte is the sum of 1 if the document
+has an id and 2 if the tokens take 2 bytes each, as they do where all are below 65536, else 4.
 
 A task writes one file for its range of ids, under a name of its own attempt, and returns where
 each record lies. These rows become the index; files of attempts that failed are in no index.
@@ -16,6 +17,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
@@ -59,12 +61,20 @@ def unframed(stream) -> bytes | None:
 
 
 def serialized(doc_id: int | None, ids: bytes) -> bytes:
-    return struct.pack(PAYLOAD, doc_id is not None, doc_id or 0) + ids
+    """A payload; ``ids`` has 4 bytes for each token."""
+    numbers = np.frombuffer(ids, "<u4")
+    short = not len(numbers) or int(numbers.max()) < 1 << 16
+    kind = (doc_id is not None) + 2 * short
+    return struct.pack(PAYLOAD, kind, doc_id or 0) + (numbers.astype("<u2").tobytes() if short else ids)
 
 
 def parsed(payload: bytes) -> tuple[int | None, bytes]:
-    has_id, doc_id = struct.unpack_from(PAYLOAD, payload)
-    return (doc_id if has_id else None), payload[PAYLOAD_SIZE :]
+    """The document's id, and its tokens with 4 bytes each."""
+    kind, doc_id = struct.unpack_from(PAYLOAD, payload)
+    ids = payload[PAYLOAD_SIZE:]
+    if kind & 2:
+        ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+    return (doc_id if kind & 1 else None), ids
 
 
 def file_system(folder: str):

@@ -154,6 +154,8 @@ def test_records_of_nothing_and_damage(spark, tmp_path):
     assert records.read(spark, folder).count() == 0
     import io
 
+    for ids in (b"", np.array([1, 65535], "<u4").tobytes(), np.array([1, 65536], "<u4").tobytes()):
+        assert records.parsed(records.serialized(None, ids)) == (None, ids)
     good = records.framed(records.serialized(7, b"\x01\0\0\0"))
     assert records.parsed(records.unframed(io.BytesIO(good))) == (7, b"\x01\0\0\0")
     for at in range(len(good)):
