@@ -53,6 +53,11 @@ def count_actions(actions: DataFrame, by: Sequence[str] = PORTAL) -> DataFrame:
     return actions.groupBy(*by, "user_id", "item_id", "action").agg(F.count("*").alias("n"))
 
 
+def sum_counts(counted: DataFrame, by: Sequence[str] = PORTAL) -> DataFrame:
+    """Counts of several parts, such as stretches of time, as one."""
+    return counted.groupBy(*by, "user_id", "item_id", "action").agg(F.sum("n").alias("n"))
+
+
 def action_weights(counted: DataFrame, by: Sequence[str] = PORTAL) -> DataFrame:
     """All actions of the portal divided by the actions of a listed type; other types weigh 0."""
     per_type = counted.groupBy(*by, "action").agg(F.sum("n").alias("actions"))
