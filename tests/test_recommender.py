@@ -5,6 +5,7 @@ import math
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -287,3 +288,32 @@ def test_salted_keys_give_the_same_baselines_and_leave_no_table(spark, monkeypat
         assert [r[:2] for r in one] == [r[:2] for r in other]
         assert all(a[2:] == pytest.approx(b[2:], abs=1e-9) for a, b in zip(one, other))
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_histories_hold_what_came_before_each_run(spark):
+    days = ["2024-01-01 10:00", "2024-01-03 00:00", "2024-01-03 09:00", "2024-01-05 12:00", "2024-01-08 01:00"]
+    rows = [(1, "p", 7, "A", d) for d in days] + [(2, "p", 8, "B", days[0])] * 3
+    actions = spark.createDataFrame(rows, "user_id long, portal string, item_id long, action string, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    starts = {1: "2024-01-03 00:00", 2: "2024-01-05 12:00", 3: "2024-01-05 12:00", 4: "2024-01-06 00:00", 5: "2023-01-01 00:00", 6: "2024-01-09 00:00"}
+    windows = spark.createDataFrame([(k, v, None if k == 6 else "2024-02-01") for k, v in starts.items()], "run_id long, start_time string, next_start_time string")
+    windows = windows.withColumns({c: F.col(c).cast("timestamp") for c in ("start_time", "next_start_time")})
+    found = {(r.run_id, r.user_id, r.item_id): r.n for r in evaluation.history_counts(actions, windows).collect()}
+    brute = {}
+    for run, start in starts.items():
+        for user, _, item, _, at in rows:
+            if run != 6 and at < start:
+                brute[run, user, item] = brute.get((run, user, item), 0) + 1
+    assert found == brute
+
+
+def test_only_blocks_with_asked_rows_are_paired(spark):
+    rows = [("p", u, u == 3) for u in range(40)] + [("q", u, False) for u in range(40)]
+    cells = spark.createDataFrame(rows, "portal string, user_id long, wanted boolean")
+
+    def work(left, right, same):
+        users = [*left["user_id"], *([] if same else right["user_id"])]
+        return pd.DataFrame({"users": [users]})
+
+    found = [r.users for r in pairblocks.for_each_block_pair(cells, ("portal",), "user_id", work, "users array<bigint>", 8, asked="wanted").collect()]
+    assert len(found) > 1 and all(3 in users for users in found)
+    assert set().union(*found) == set(range(40))
