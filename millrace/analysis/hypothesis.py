@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import distributions as dist
 from ..operators.joins import join_groups
 from ..operators.quantiles import quantile_columns
+from ..session import shuffle_width
 
 
 def t_one_sample(df: DataFrame, value: str, expected: float = 0.0, by: Sequence[str] = ()) -> DataFrame:
@@ -107,13 +108,13 @@ def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     observed = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count("*").alias("observed"))
     rows = observed.groupBy(a).agg(F.sum("observed").alias("_row"))
     columns = observed.groupBy(b).agg(F.sum("observed").alias("_column"))
-    # both margins are as small as the table; one array keeps the grid free of a cross join
-    margin = columns.agg(F.collect_list(F.struct(b, "_column")).alias("_m"), F.sum("_column").alias("_total"))
+    total = observed.agg(F.sum("observed")).first()[0] or 0
+    # the grid is what is asked for; it is laid out by shares of the columns, so that no task holds a whole margin
+    shares = shuffle_width(df)
     grid = (
-        rows.withColumn("_one", F.lit(1))
-        .join(margin.withColumn("_one", F.lit(1)), "_one")
-        .select(a, "_row", "_total", F.explode("_m").alias("_c"))
-        .select(a, F.col(f"_c.{b}").alias(b), (F.col("_row") * F.col("_c._column") / F.col("_total")).alias("expected"))
+        rows.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+        .join(columns.withColumn("_share", F.pmod(F.xxhash64(b), F.lit(shares)).cast("int")), "_share")
+        .select(a, b, (F.col("_row") * F.col("_column") / F.lit(total)).alias("expected"))
     )
     return grid.join(observed, [a, b], "left").na.fill(0, ["observed"])
 

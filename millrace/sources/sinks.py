@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 POINTER = "version string, path string, published_at timestamp"
 
 
@@ -14,22 +16,23 @@ class EmptyResultError(ValueError):
     """Raised instead of publishing a result without rows."""
 
 
-def refuse_empty(df: DataFrame, name: str) -> DataFrame:
-    if df.isEmpty():
+def refuse_empty(stored: DataFrame, name: str) -> DataFrame:
+    """``stored`` if it has rows; it should be written already, as an unwritten result would be computed for this alone."""
+    if stored.isEmpty():
         raise EmptyResultError(f"{name} has no rows to publish")
-    return df
+    return stored
 
 
 def publish_snapshot(df: DataFrame, root: str, name: str = "result") -> str:
     """Replace a table as a whole.
 
-    Rows go to a new version folder; only when that is complete does one record in the
+    Rows go to a new version folder; only when that is complete and has rows does one record in the
     pointer table make it current, so readers see the old version or the new one.
     """
-    refuse_empty(df, name)
     version = uuid.uuid4().hex
     path = f"{root}/versions/{version}"
     df.write.parquet(path)
+    refuse_empty(df.sparkSession.read.schema(df.schema).parquet(path), name)
     pointer = df.sparkSession.range(1).select(
         F.lit(version).alias("version"), F.lit(path).alias("path"), F.current_timestamp().alias("published_at")
     )
@@ -50,9 +53,13 @@ def stamp_run(df: DataFrame, run_id: int, numeric: dict[str, str]) -> DataFrame:
 
 
 def append_history(df: DataFrame, path: str, name: str = "result") -> None:
-    """Write a run's rows beside earlier runs; repeating a run replaces that run alone."""
-    refuse_empty(df, name)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+    """Write a run's rows beside earlier runs; repeating a run replaces that run alone.
+
+    A result without rows replaces no run. Rows are gathered by run, so that a task does not leave
+    a small file in each; a large run is split again, since only its size tells how many tasks it needs.
+    """
+    rows = refuse_empty(cut(df), name).hint("rebalance", "run_id")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
 
 def string_widths(df: DataFrame) -> DataFrame:

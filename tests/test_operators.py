@@ -166,6 +166,11 @@ def test_word_degrees_sum_phrase_lengths(spark):
 def test_empty_results_are_not_published(spark):
     with pytest.raises(sinks.EmptyResultError):
         sinks.publish_snapshot(spark.range(0), files.scratch(spark, "t"))
+    path = files.scratch(spark, "h")
+    sinks.append_history(sinks.stamp_run(spark.range(3), 1, {}), path)
+    with pytest.raises(sinks.EmptyResultError):
+        sinks.append_history(sinks.stamp_run(spark.range(3).filter("id > 5"), 1, {}), path)
+    assert spark.read.parquet(path).count() == 3
 
 
 def test_history_replaces_only_its_own_run(spark):
