@@ -12,6 +12,8 @@ from . import (
     decontamination,
     language,
     license_scan,
+    line_dedup,
+    merkle,
     near_dup,
     packing,
     quality,
@@ -19,6 +21,7 @@ from . import (
     secret_scan,
     toxicity,
     url_filter,
+    whitening,
 )
 
 URL_RULES = [
@@ -124,6 +127,31 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(Tables(spark, folder).pages, rules)
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the lines that ten of them share."""
+    kept = line_dedup.drop_shared_lines(Tables(spark, folder).documents)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened coordinates of all embeddings."""
+    return whitening.whiten(Tables(spark, folder).embeddings)
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents, and whether a document that is tampered with still leads to the root."""
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    documents = Tables(spark, folder).documents
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = merkle.leaf_digest([F.col(c) + 1 if c == "n_chars" else F.col(c) for c in columns])
+    leaves = documents.withColumn("changed", F.when(tampered, changed))
+    found = merkle.manifest(leaves, columns, "lang", "doc_id", ("doc_id", "changed"))
+    again = merkle.folded(F.coalesce("changed", "leaf"), F.col("siblings"), F.col("sides"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), again.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_secret_scan": op2_secret_scan,
@@ -135,4 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_records": op8_token_records,
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -92,4 +92,62 @@ FROM (SELECT *, CASE
   FROM urls)
 """
 
-SQL = {"op2_secret_scan": SECRETS, "op6_quality_rules": QUALITY, "op10_url_filter": URLS}
+_ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+LINES = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT row, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+k AS (SELECT row, i, line, translate(trim(line, {_SPACE}), {_ASCII}) AS key FROM l),
+shared AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT row) >= 10),
+kept AS (SELECT row, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM k ANTI JOIN shared USING (key) GROUP BY row)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (row)
+"""
+
+
+def _framed(*columns: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns) + ")"
+
+
+# DuckDB has no CRC, so the tampered ids are found by the bits of the polynomial.
+_CRC = """list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(length(CAST(doc_id AS VARCHAR))), lambda i: ascii(CAST(doc_id AS VARCHAR)[i + 1])::UBIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END))"""
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce('=' || lang, '') AS tree, {_framed("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND xor({_CRC}, 4294967295::UBIGINT) % 7 = 0 THEN {_framed("doc_id", "source", "lang", "n_chars + 1", "text")} END AS changed
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS place, count(*) OVER (PARTITION BY tree) AS total FROM leaves
+), low AS (
+  SELECT tree, 0 AS level, place, total, leaf AS digest FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 2, (total + 1) // 2, sha256(string_agg(digest, '' ORDER BY place)) FROM low WHERE total > 1 GROUP BY tree, level, place // 2, total
+), subroots AS (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place, level AS height FROM low WHERE total = 1
+), high AS (
+  SELECT 0 AS level, place, count(*) OVER () AS total, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, (total + 1) // 2, sha256(string_agg(digest, '' ORDER BY place)) FROM high WHERE total > 1 GROUP BY level, place // 2, total
+), steps AS (
+  SELECT p.row, a.level AS step, a.place % 2 AS side, b.digest AS sibling FROM placed p JOIN low a ON a.tree = p.tree AND a.place = p.place // (1 << a.level) AND a.total > 1
+  LEFT JOIN low b ON b.tree = a.tree AND b.level = a.level AND b.place = xor(a.place, 1)
+  UNION ALL
+  SELECT p.row, s.height + a.level, a.place % 2, b.digest FROM placed p JOIN subroots s USING (tree) JOIN high a ON a.place = s.place // (1 << a.level) AND a.total > 1
+  LEFT JOIN high b ON b.level = a.level AND b.place = xor(a.place, 1)
+), proofs AS (
+  SELECT row, sha256(string_agg(sibling, '' ORDER BY step)) AS proof FROM steps GROUP BY row
+), walk AS (
+  SELECT row, 0 AS step, coalesce(changed, leaf) AS digest FROM placed
+  UNION ALL
+  SELECT w.row, w.step + 1, sha256(CASE WHEN sibling IS NULL THEN digest WHEN side = 1 THEN sibling || digest ELSE digest || sibling END) FROM walk w JOIN steps s ON s.row = w.row AND s.step = w.step
+), ends AS (
+  SELECT row, arg_max(digest, step) AS folded FROM walk GROUP BY row
+)
+SELECT doc_id, leaf, s.digest AS subroot, r.digest AS root, coalesce(proof, sha256('')) AS proof_sha256, folded AS folded_root, folded = r.digest AS verified
+FROM placed p JOIN subroots s USING (tree) JOIN ends USING (row) LEFT JOIN proofs USING (row) CROSS JOIN (SELECT digest FROM high WHERE total = 1) r
+"""
+
+SQL = {"op2_secret_scan": SECRETS, "op6_quality_rules": QUALITY, "op10_url_filter": URLS, "op11_line_dedup": LINES, "op13_merkle_manifest": MERKLE}
