@@ -83,14 +83,12 @@ UNION ALL SELECT 'item', portal, item_id, round(bi, 6) FROM bi10""",
     ),
 )
 def rating_baselines(t: Tables) -> DataFrame:
-    users, offsets = collaborative.baselines(cut(rated(t)))
-    return users.select(
-        F.lit("user").alias("side"), "portal", F.col("user_id").alias("id"), F.round("user_offset", 6).alias("b")
-    ).unionByName(
-        offsets.select(
-            F.lit("item").alias("side"), "portal", F.col("item_id").alias("id"), F.round("item_offset", 6).alias("b")
-        )
-    )
+    marked = collaborative.offsets(cut(rated(t)))
+    sides = [
+        marked.groupBy("portal", F.col(f"{side}_id").alias("id")).agg(F.round(F.max(f"{side}_offset"), 6).alias("b")).withColumn("side", F.lit(side))
+        for side in ("user", "item")
+    ]
+    return sides[0].unionByName(sides[1])
 
 
 @query(
@@ -131,7 +129,7 @@ WHERE place <= wanted GROUP BY portal, user_id""",
 )
 def top_neighbours(t: Tables) -> DataFrame:
     marked = collaborative.residuals(cut(rated(t)))
-    found = collaborative.top_neighbours(collaborative.nearest_users(marked), collaborative.knn_predict(marked))
+    found = collaborative.top_neighbours(marked)
     return found.withColumn("neighbours", F.array_join("neighbours", ","))
 
 
@@ -140,9 +138,7 @@ def top_neighbours(t: Tables) -> DataFrame:
     q.chain(*PREDICTED, q.cf_top(), select="SELECT portal, user_id, item_id, round(rating, 5) AS rating, rank FROM cf"),
 )
 def cf_top20(t: Tables) -> DataFrame:
-    rating = cut(rated(t))
-    predicted = collaborative.knn_predict(collaborative.residuals(rating))
-    return collaborative.cf_top(rating, predicted).withColumn("rating", F.round("rating", 5))
+    return collaborative.recommend(collaborative.residuals(cut(rated(t)))).withColumn("rating", F.round("rating", 5))
 
 
 @query(
@@ -158,10 +154,8 @@ def cf_top20(t: Tables) -> DataFrame:
 )
 def hybrid_top20(t: Tables) -> DataFrame:
     rating = cut(rated(t))
-    predicted = collaborative.knn_predict(collaborative.residuals(rating))
-    return lists.hybrid(
-        lists.own_past_top(rating), collaborative.cf_top(rating, predicted), lists.trending(rating)
-    )
+    found = collaborative.recommend(collaborative.residuals(rating))
+    return lists.hybrid(lists.own_past_top(rating), found, lists.trending(rating))
 
 
 # ---- ratings in long form, held-out error, one user's suggestions

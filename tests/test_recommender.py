@@ -5,11 +5,12 @@ import math
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import pairblocks
+from millrace.operators import pairblocks, stripes
 from millrace.plans import collaborative, content, evaluation, lists, ratings
 
 START = datetime(2024, 1, 1)
@@ -121,13 +122,26 @@ def test_ties_go_to_the_smaller_item(spark):
     assert [(r.item_id, r.rank) for r in sorted(found, key=lambda r: r.rank)] == [(3, 1), (7, 2)]
 
 
-@pytest.mark.parametrize("rows_per_block,dense_gain", [(512, 50), (6, 50), (6, 0)])
-def test_neighbours_and_predictions_equal_brute_force(spark, monkeypatch, rows_per_block, dense_gain):
+@pytest.mark.parametrize("rows_per_stripe,dense_gain,share", [(2048, 50, 0.5), (6, 50, 0.5), (6, 0, 0.5), (4, 50, 0.15)])
+def test_neighbours_and_predictions_equal_brute_force(spark, monkeypatch, rows_per_stripe, dense_gain, share):
     monkeypatch.setattr(pairblocks, "DENSE_GAIN", dense_gain)  # 0 takes the sparse way everywhere
-    rows = random_ratings()
+    rows = random_ratings(share=share)
     marked = collaborative.residuals(rating_table(spark, rows))
-    near = collaborative.nearest_users(marked, k=5, rows_per_block=rows_per_block).collect()
-    guessed = collaborative.knn_predict(marked, k=5, min_k=3, rows_per_block=rows_per_block).collect()
+    near = collaborative.nearest_users(marked, k=5, rows_per_stripe=rows_per_stripe).collect()
+    cells = collaborative.knn_predict(marked, k=5, min_k=3, rows_per_stripe=rows_per_stripe)
+    guessed = cells.collect()
+    listed = collaborative.recommend(marked, n=6, k=5, min_k=3, rows_per_stripe=rows_per_stripe).collect()
+    slow = collaborative.cf_top(marked, cells, n=6).collect()
+    assert {(r.portal, r.user_id, r.rank, r.item_id, round(r.rating, 9)) for r in listed} == {
+        (r.portal, r.user_id, r.rank, r.item_id, round(r.rating, 9)) for r in slow
+    }
+    first = {}
+    for r in sorted(guessed, key=lambda r: -r.item_id):
+        first[r.portal, r.user_id] = r.neighbours
+    by_rank = sorted(near, key=lambda r: r["rank"])
+    wanted = {u: [r.neighbour_id for r in by_rank if (r.portal, r.user_id) == u][:n] for u, n in first.items()}
+    found = collaborative.top_neighbours(marked, k=5, rows_per_stripe=rows_per_stripe).collect()
+    assert {(r.portal, r.user_id): r.neighbours for r in found} == wanted
     for portal in ("P", "Q"):
         sim, predicted = brute_force([r[1:] for r in rows if r[0] == portal], 5, 3, 2)
         mine = {(r.user_id, r.rank): (r.neighbour_id, r.similarity) for r in near if r.portal == portal}
@@ -142,13 +156,91 @@ def test_neighbours_and_predictions_equal_brute_force(spark, monkeypatch, rows_p
             assert mine[cell][1] == n and mine[cell][0] == pytest.approx(value, abs=1e-7)
 
 
+def test_a_row_is_sent_once_per_stripe_and_once_as_its_own(spark):
+    rows = [("p", u, i) for u in range(50) for i in range(4)] + [("q", 1, 1)]
+    cells = spark.createDataFrame(rows, "portal string, user_id bigint, item_id bigint")
+    counts = stripes.stripe_counts(cells, ("portal",), "user_id", F.lit(0), rows_per_stripe=10)
+    g = {r.portal: r["_stripes"] for r in counts.collect()}
+    assert 4 <= g["p"] <= 6 and g["q"] == 1
+    sent = stripes.placed(cells, counts, ("portal",), "user_id")
+    copies = sent.groupBy("portal", "user_id", "item_id").agg(F.count("*").alias("n"), F.count_if("_own").alias("own")).collect()
+    assert all(r.n == g[r.portal] + 1 and r.own == 1 for r in copies) and len(copies) == len(rows)
+    # the number of stripes follows what has to be remembered
+    more = stripes.stripe_counts(cells, ("portal",), "user_id", F.lit(100), budget=10)
+    assert {r.portal: r["_stripes"] for r in more.collect()} == {"p": 10, "q": 1}
+
+
+def test_only_stripes_with_asked_rows_get_cells(spark):
+    rows = [("p", u, u == 3) for u in range(40)] + [("q", u, False) for u in range(40)]
+    cells = spark.createDataFrame(rows, "portal string, user_id long, wanted boolean")
+    counts = stripes.stripe_counts(cells, ("portal",), "user_id", F.lit(0), rows_per_stripe=8)
+    sent = stripes.placed(cells, counts, ("portal",), "user_id", "wanted").collect()
+    assert len(sent) == 41 and [r.user_id for r in sent if r["_own"]] == [3] and len({r["_stripe"] for r in sent}) == 1
+
+
+@pytest.mark.parametrize("rows_per_block,entries_per_block", [(3, 500), (100, 7), (1, 1)])
+def test_blocks_pass_by_whole_and_in_order(spark, rows_per_block, entries_per_block):
+    rows = [(g, u, c) for g in ("a", "b") for u in range(37) for c in range(1 + u % 5)]
+    cells = spark.createDataFrame(rows, "g string, row bigint, c int")
+
+    class Seen:
+        def start(self, own):
+            self.own, self.blocks = sorted(own["row"].unique()), []
+
+        def step(self, block):
+            self.blocks.append(block["row"].tolist())
+
+        def finish(self):
+            return pd.DataFrame({"own": [self.own], "blocks": [self.blocks]})
+
+    counts = stripes.stripe_counts(cells, ["g"], "row", F.lit(0), rows_per_stripe=10)
+    found = stripes.for_each_stripe(
+        cells, ["g"], "row", Seen, "own array<bigint>, blocks array<array<bigint>>", counts, None, rows_per_block, entries_per_block
+    ).collect()
+    for g in ("a", "b"):
+        mine = [r for r in found if r.g == g]
+        assert sorted(u for r in mine for u in r.own) == list(range(37)) and len(mine) > 1
+        for r in mine:
+            assert [u for b in r.blocks for u in b] == [u for h, u, _ in rows if h == g]
+            assert all(len(set(b)) <= rows_per_block for b in r.blocks)
+            assert not any(set(a) & set(b) for a, b in zip(r.blocks, r.blocks[1:]))
+
+
+def test_best_keeps_the_earlier_of_equal_partners():
+    pick = random.Random(4)
+    best, seen = stripes.Best(4), [[] for _ in range(9)]
+    best.grow(9)
+    partner = 0
+    for _ in range(12):
+        width = pick.randint(1, 6)
+        lines = np.array(sorted(pick.sample(range(9), 5)))
+        scores = np.array([[pick.choice([0, 0, 1, 2, 3, 3, 5]) for _ in range(width)] for _ in lines], float)
+        ids = np.broadcast_to(np.arange(partner, partner + width, dtype=float), scores.shape)
+        best.meet(lines, scores, [ids])
+        for line, row in zip(lines, scores):
+            seen[line] += [(-s, partner + n) for n, s in enumerate(row) if s > 0]
+        partner += width
+    for line, offered in enumerate(seen):
+        kept = sorted((-s, int(i)) for s, i in zip(best.scores[line], best.more[0][line]) if s > 0)
+        assert kept == sorted(offered)[:4]
+
+
+def test_groups_swept_in_a_task_equal_those_swept_by_joins(spark):
+    rated = rating_table(spark, random_ratings())
+    inside = collaborative.residuals(rated)
+    outside = collaborative.residuals(rated, cells_per_task=200)  # one portal is larger, or both
+    values = lambda df: {(r.portal, r.user_id, r.item_id): (r.rating, r.residual, r.centred) for r in df.collect()}
+    one, other = values(inside), values(outside)
+    assert one.keys() == other.keys() and all(one[c] == pytest.approx(other[c], abs=1e-9) for c in one)
+
+
 def test_wanted_cells_equal_brute_force(spark):
     rows = random_ratings(portals=("P",))
     _, predicted = brute_force([r[1:] for r in rows], 5, 1, 1)
     rated = {(u, i) for _, u, i, _ in rows}
     wanted = [("P", u, i) for u in range(0, 23, 3) for i in range(17) if (u, i) not in rated]
     asked = spark.createDataFrame(wanted, "portal string, user_id bigint, item_id bigint")
-    found = collaborative.predict_cells(rating_table(spark, rows), asked, k=5, min_k=1, rows_per_block=6)
+    found = collaborative.predict_cells(rating_table(spark, rows), asked, k=5, min_k=1, rows_per_stripe=6)
     mine = {(r.user_id, r.item_id): (r.estimate, r.neighbours) for r in found.collect()}
     assert len(mine) == len(wanted)
     for _, u, i in wanted:
@@ -304,16 +396,3 @@ def test_histories_hold_what_came_before_each_run(spark):
             if run != 6 and at < start:
                 brute[run, user, item] = brute.get((run, user, item), 0) + 1
     assert found == brute
-
-
-def test_only_blocks_with_asked_rows_are_paired(spark):
-    rows = [("p", u, u == 3) for u in range(40)] + [("q", u, False) for u in range(40)]
-    cells = spark.createDataFrame(rows, "portal string, user_id long, wanted boolean")
-
-    def work(left, right, same):
-        users = [*left["user_id"], *([] if same else right["user_id"])]
-        return pd.DataFrame({"users": [users]})
-
-    found = [r.users for r in pairblocks.for_each_block_pair(cells, ("portal",), "user_id", work, "users array<bigint>", 8, asked="wanted").collect()]
-    assert len(found) > 1 and all(3 in users for users in found)
-    assert set().union(*found) == set(range(40))
