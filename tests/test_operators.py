@@ -241,21 +241,41 @@ def test_ranking_scores_treat_ties_as_one_step(spark):
     assert one(scores.average_precision(df, "y", "s", ["g"]).select("average_precision")) == pytest.approx(0.5 + 0.5 * 2 / 3)
 
 
-@pytest.mark.parametrize("rows_per_block", [1024, 7])
-def test_nearest_rows_equal_brute_force(spark, rows_per_block):
+@pytest.mark.parametrize("rows_per_block,rows_per_cell", [(1024, 4096), (7, 4096), (7, 6), (1024, 1)])
+def test_nearest_rows_equal_brute_force(spark, rows_per_block, rows_per_cell):
     pick = random.Random(4)
     points = [(n, [float(pick.randrange(4)) for _ in range(3)], n % 3) for n in range(60)]
+    points += [(n, [1.0, 1.0, 1.0], 0) for n in range(60, 100)]  # a crowd on one point
     df = spark.createDataFrame(points, "id bigint, v array<double>, label bigint")
     test, train = df.filter("id < 20"), df.filter("id >= 20")
-    near = classify.nearest_rows(test, train, 5, "id", "v", "label", rows_per_block)
+    near = classify.nearest_rows(test, train, 5, "id", "v", "label", rows_per_block, rows_per_cell)
     found = {(r.id, r["rank"]): r.near_key for r in near.collect()}
     for i, v, _ in points[:20]:
         best = sorted((round(math.dist(v, w), 8), j) for j, w, _ in points[20:])[:5]
         assert [found[i, place] for place in range(1, 6)] == [j for _, j in best]
+    few = classify.nearest_rows(test, train.limit(3), 5, "id", "v", "label", rows_per_block, rows_per_cell)
+    assert few.count() == 60 and classify.nearest_rows(test, train.limit(0), 5, "id", "v", "label").count() == 0
     votes = {(r.k, r.id): r.predicted for r in classify.vote(near, "id", [1, 5]).collect()}
     assert len(votes) == 40
 
 
+def test_cells_out_of_reach_are_skipped(spark):
+    pick = random.Random(9)
+    centres = [[pick.uniform(0, 100) for _ in range(4)] for _ in range(12)]
+    points = [(n, [c + pick.gauss(0, 1) for c in centres[n % 12]], n % 2) for n in range(600)]
+    df = spark.createDataFrame(points, "id bigint, v array<double>, label bigint")
+    placed, cells = classify.cells_of(df.filter("id >= 60").withColumn("label", F.lit(0)), 5, "id", "v", 20)
+    assert placed.count() == 540 and placed.groupBy("_cell", "_chunk").count().agg(F.max("count")).first()[0] <= 80
+    asked = classify.probes(df.filter("id < 60").withColumn("reach", F.lit(4.0)), cells, 5, "v", "reach")
+    seen = asked.agg(F.sum(F.size("_cells"))).first()[0]
+    assert 60 <= seen < 0.4 * 60 * len(cells.pivot)
+    near = classify.nearest_rows(df.filter("id < 60"), df.filter("id >= 60"), 5, "id", "v", "label", 1024, 20)
+    found = {(r.id, r["rank"]): r.near_key for r in near.collect()}
+    for i, v, _ in points[:60]:
+        best = sorted((round(math.dist(v, w), 8), j) for j, w, _ in points[60:])[:5]
+        assert [found[i, place] for place in range(1, 6)] == [j for _, j in best]
+
+
 def test_fitted_models_beat_the_majority(spark):
     pick = random.Random(6)
     rows = [(n, [pick.gauss(n % 2 * 3, 1), pick.gauss(0, 1)], float(n % 2)) for n in range(200)]

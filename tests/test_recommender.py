@@ -298,16 +298,63 @@ def brute_content(bags, n):
     return found
 
 
-@pytest.mark.parametrize("rows_per_block", [512, 5])
-def test_similar_items_equal_brute_force_with_twins(spark, rows_per_block):
+@pytest.mark.parametrize("rows_per_stripe", [2048, 5])
+def test_similar_items_equal_brute_force_with_twins(spark, rows_per_stripe):
     pick = random.Random(3)
     vocabulary = ["RED", "BLUE", "WIDGET", "GEAR", "SMALL", "LARGE", "STEEL", "WOOD"]
     bags = [(i, " ".join(pick.sample(vocabulary, pick.choice([2, 3])))) for i in range(40)]
     bags += [(i, "RED WIDGET STEEL") for i in range(40, 70)]  # a crowd of twins
-    found = content.content_similar(spark.createDataFrame(bags, "item_id bigint, bag_of_words string"), 4, rows_per_block=rows_per_block)
+    found = content.content_similar(spark.createDataFrame(bags, "item_id bigint, bag_of_words string"), 4, rows_per_stripe=rows_per_stripe)
     assert {(r.item_id, r.recommended_item_id, r.rank) for r in found.collect()} == brute_content(bags, 4)
 
 
+def test_short_lists_are_filled_with_the_smallest_ids(spark):
+    bags = [(i, b) for i, b in enumerate(["RED CAR", "RED BUS", "BLUE SKY", "GREEN LEAF", "", "RED CAR"], 1)]
+    items = spark.createDataFrame(bags, "item_id bigint, bag_of_words string")
+    found = {}
+    for r in sorted(content.content_similar(items, 4, fill=True).collect(), key=lambda r: r["rank"]):
+        found.setdefault(r.item_id, []).append((r.recommended_item_id, round(r.score, 6)))
+    assert found == {
+        1: [(6, 1.0), (2, 0.5), (3, 0.0), (4, 0.0)],
+        2: [(1, 0.5), (6, 0.5), (3, 0.0), (4, 0.0)],
+        3: [(1, 0.0), (2, 0.0), (4, 0.0), (5, 0.0)],
+        4: [(1, 0.0), (2, 0.0), (3, 0.0), (5, 0.0)],
+        5: [(1, 0.0), (2, 0.0), (3, 0.0), (4, 0.0)],
+        6: [(1, 1.0), (2, 0.5), (3, 0.0), (4, 0.0)],
+    }
+
+
+@pytest.mark.parametrize("spread,share", [(300, 0.35), (12, 1.0)])
+def test_bounds_leave_most_pairs_unscored(spread, share):
+    """Rows of rare and frequent terms of unequal weights; the lists equal those of all products."""
+    pick = random.Random(spread)
+    vectors = {}
+    for row in range(160):
+        cells = {t: pick.random() for t in [*pick.sample(range(spread), 5), *pick.sample(range(1000, 1004), 3)]}
+        if row % 3 == 0 and row:
+            cells = dict(vectors[row - 1])
+            cells[pick.randrange(spread)] = 0.5
+        norm = math.sqrt(sum(w * w for w in cells.values()))
+        vectors[row] = {t: w / norm for t, w in cells.items()}
+    cells = pd.DataFrame([(r, t, w) for r, v in vectors.items() for t, w in v.items()], columns=["row", "_column", "w"])
+    work = content.CosineStripe("row", "w", 4, 10, own_rows=37)
+    work.start(cells[cells["row"] % 2 == 0])
+    for start in range(0, 160, 9):
+        work.step(cells[(cells["row"] >= start) & (cells["row"] < start + 9)])
+    found = {(r.row, r.rank): (r.other_id, r.score) for r in work.finish().itertuples()}
+    met = 0
+    for row in range(0, 160, 2):
+        scored = []
+        for other in range(160):
+            dot = sum(w * vectors[other].get(t, 0.0) for t, w in vectors[row].items())
+            if other != row and dot:
+                scored.append((-round(dot, 10), other))
+        met += len(scored)
+        for place, (score, other) in enumerate(sorted(scored)[:4], 1):
+            assert found[row, place] == (other, pytest.approx(-score, abs=1e-9))
+    assert work.scored <= share * met
+
+
 # ---- evaluation
 
 
