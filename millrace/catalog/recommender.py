@@ -155,7 +155,7 @@ def cf_top20(t: Tables) -> DataFrame:
 def hybrid_top20(t: Tables) -> DataFrame:
     rating = cut(rated(t))
     found = collaborative.recommend(collaborative.residuals(rating))
-    return lists.hybrid(lists.own_past_top(rating), found, lists.trending(rating))
+    return lists.hybrid(lists.own_past_top(rating), found, lists.trending(rating), within=rating)
 
 
 # ---- ratings in long form, held-out error, one user's suggestions

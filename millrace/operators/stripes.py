@@ -52,7 +52,9 @@ def stripe_counts(
     return sizes.select(*by, F.least(wanted, F.greatest(F.col("_rows"), F.lit(1))).cast("int").alias("_stripes"))
 
 
-def placed(entries: DataFrame, stripes: DataFrame, by: Sequence[str], row: str, asked: str | None = None) -> DataFrame:
+def placed(
+    entries: DataFrame, stripes: DataFrame, by: Sequence[str], row: str, asked: str | None = None, within: DataFrame | None = None
+) -> DataFrame:
     """Every entry once for each stripe of its group, and once more, marked ``_own``, in the stripe of its row.
 
     ``asked`` names a flag; a row none of whose entries has it is nobody's own, and a stripe
@@ -62,11 +64,11 @@ def placed(entries: DataFrame, stripes: DataFrame, by: Sequence[str], row: str,
     everywhere = F.transform(F.sequence(F.lit(0), F.col("_stripes") - 1), lambda s: F.struct(s.alias("_stripe"), F.lit(False).alias("_own")))
     once = F.array(F.struct(F.col("_home").alias("_stripe"), F.lit(True).alias("_own")))
     if asked is None:
-        spread = join_groups(entries, stripes, by).withColumn("_home", home)
+        spread = join_groups(entries, stripes, by, within=within).withColumn("_home", home)
         return spread.withColumn("_at", F.explode(F.concat(everywhere, once))).select(*entries.columns, "_at.*")
     rows = entries.filter(asked).select(*by, row).distinct()
-    open_stripes = join_groups(rows, stripes, by).groupBy(*by).agg(F.collect_set(home).alias("_open"))
-    known = join_groups(entries, stripes.join(open_stripes, list(by)), by).withColumn("_home", home)
+    open_stripes = join_groups(rows, stripes, by, within=within).groupBy(*by).agg(F.collect_set(home).alias("_open"))
+    known = join_groups(entries, stripes.join(open_stripes, list(by)), by, within=within).withColumn("_home", home)
     marked = known.join(rows.withColumn("_asked", F.lit(True)), [*by, row], "left")
     places = F.concat(
         F.transform("_open", lambda s: F.struct(s.alias("_stripe"), F.lit(False).alias("_own"))),
@@ -85,13 +87,15 @@ def for_each_stripe(
     asked: str | None = None,
     rows_per_block: int = ROWS_PER_BLOCK,
     entries_per_block: int = ENTRIES_PER_BLOCK,
+    within: DataFrame | None = None,
 ) -> DataFrame:
     """Run ``work`` for every stripe; ``by`` columns (never null) come before ``schema``.
 
     ``entries`` is long form, one record per non-empty cell; rows pass by in ascending order of ``row``.
+    ``within`` is the stored table that they come from, if there is one.
     """
     by = list(by)
-    spread = placed(entries, stripes, by, row, asked)
+    spread = placed(entries, stripes, by, row, asked, within)
     # the stage is bound by arithmetic, so keep its width even where the bytes are few
     dealt = spread.repartition(shuffle_width(entries), *by, "_stripe").sortWithinPartitions(*by, "_stripe", F.col("_own").desc(), row)
     keys = [*by, "_stripe"]

@@ -70,7 +70,7 @@ def user_item_rating(counted: DataFrame, by: Sequence[str] = PORTAL, low: float
     """Mean weight of the user's actions on the item, rescaled to [low, high] inside ``by``."""
     weights = action_weights(counted, by).select(*by, "action", "weight")
     scored = (
-        join_groups(counted, weights, [*by, "action"])
+        join_groups(counted, weights, [*by, "action"], within=counted)
         .groupBy(*by, "user_id", "item_id")
         .agg((F.sum(F.col("weight") * F.col("n")) / F.sum("n")).alias("score"))
     )
@@ -81,7 +81,7 @@ def user_item_rating(counted: DataFrame, by: Sequence[str] = PORTAL, low: float
     share = F.coalesce(
         F.try_divide(F.col("score") - F.col("_min"), F.col("_max") - F.col("_min")), F.lit(0.0)
     )
-    return join_groups(scored, spans, by).select(
+    return join_groups(scored, spans, by, within=scored).select(
         *by, "user_id", "item_id", F.round(low + (high - low) * share, 10).alias("rating")
     )
 

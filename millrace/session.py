@@ -5,9 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from typing import NamedTuple
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+# bytes of tables that were cut, as long as somebody holds them
+_BYTES: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
 ROWS_PER_BUCKET = 500_000
 
@@ -33,10 +37,34 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and forget how it was made.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``; a temporary
-    one is set only where neither that setting nor the context has any.
+    one is set only where neither that setting nor the context has any. Tables of plain
+    columns are measured on the way (:func:`known_bytes`).
     """
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    width = _row_bytes(df)
+    if width is None:
+        return df.checkpoint(eager=True)
+    seen = Observation()
+    stored = df.observe(seen, F.sum(width).alias("bytes")).checkpoint(eager=True)
+    _BYTES[stored] = seen.get["bytes"] or 0
+    return stored
+
+
+def _row_bytes(df: DataFrame) -> Column | None:
+    """Bytes of a row's numbers and strings; None if it has other columns."""
+    fixed, text = 8, []
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            text.append(F.coalesce(F.octet_length(f"`{name}`"), F.lit(0)))
+        elif kind.startswith(("array", "map", "struct", "variant")):
+            return None
+        fixed += 8
+    return sum((t.cast("bigint") for t in text), F.lit(fixed).cast("bigint"))
+
+
+def known_bytes(df: DataFrame) -> int | None:
+    """Bytes of all rows, if ``df`` is a table that :func:`cut` has measured."""
+    return _BYTES.get(df)
 
 
 def shuffle_width(df: DataFrame) -> int:

@@ -10,8 +10,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import pairblocks, stripes
+from millrace.operators import intervals, pairblocks, stripes
 from millrace.plans import collaborative, content, evaluation, lists, ratings
+from millrace.sources.run_store import RunStore
 
 START = datetime(2024, 1, 1)
 
@@ -443,3 +444,78 @@ def test_histories_hold_what_came_before_each_run(spark):
             if run != 6 and at < start:
                 brute[run, user, item] = brute.get((run, user, item), 0) + 1
     assert found == brute
+
+
+# ---- interval join and run store
+
+
+@pytest.mark.parametrize("left_closed,right_closed", [(False, True), (True, False), (True, True), (False, False)])
+@pytest.mark.parametrize("ranges", [1, 4, 30])
+def test_intervals_equal_brute_force(spark, left_closed, right_closed, ranges):
+    pick = random.Random(ranges)
+    at = lambda h: START + timedelta(hours=h)
+    events = [(n, at(pick.choice([50, 50, 50, pick.randrange(100)])), None if n % 7 else n) for n in range(200)] + [(200, None, 1)]
+    spans = [(k, at(s), at(s + pick.choice([0, 1, 5, 60]))) for k, s in enumerate(pick.choices(range(100), k=25))]
+    spans += [(30, at(50), at(50)), (31, at(60), at(40)), (32, None, at(40)), (33, at(3), None), (5, *spans[5][1:]), (34, at(-5), at(500))]
+    e = spark.createDataFrame(events, "id int, ts timestamp_ntz, v bigint").repartition(5)
+    s = spark.createDataFrame(spans, "run_id bigint, a timestamp_ntz, b timestamp_ntz")
+    found = intervals.interval_join(e, s, "ts", "a", "b", "run_id", left_closed, right_closed, ranges)
+    assert found.columns == ["id", "ts", "v", "run_id"]
+    wanted = sorted(
+        (i, k)
+        for i, t, _ in events
+        for k, a, b in spans
+        if None not in (t, a, b) and a <= b and (a < t < b or (a == t and left_closed and (t < b or right_closed)) or (t == b and right_closed and (a < t or left_closed)))
+    )
+    rows = found.collect()
+    assert sorted((r.id, r.run_id) for r in rows) == wanted
+    values = {i: (t, v) for i, t, v in events}
+    assert all((r.ts, r.v) == values[r.id] for r in rows)
+
+
+def test_a_hot_time_is_spread_and_empty_sides_join_nothing(spark):
+    rows = [(n, START) for n in range(400)] + [(n, START + timedelta(days=n)) for n in range(400, 440)]
+    events = spark.createDataFrame(rows, "id int, ts timestamp_ntz")
+    spans = spark.createDataFrame([(1, START, START + timedelta(days=1))], "run_id bigint, a timestamp_ntz, b timestamp_ntz")
+    borders = intervals.range_borders(events, "ts", 8)
+    assert borders.count(START) >= 6
+    found = intervals.interval_join(events, spans, "ts", "a", "b", "run_id", True, True, 8).withColumn("task", F.spark_partition_id())
+    per_task = [r["count"] for r in found.groupBy("task").count().collect()]
+    assert sum(per_task) == 400 and len(per_task) >= 3
+    assert intervals.interval_join(events.limit(0), spans, "ts", "a", "b", "run_id").count() == 0
+    assert intervals.interval_join(events, spans.limit(0), "ts", "a", "b", "run_id").count() == 0
+
+
+def test_a_run_is_stored_once_and_only_missing_ones_are_made(spark, tmp_path):
+    store = RunStore(spark, f"{tmp_path}/store", {"lists": "item_id bigint, rank int"})
+    asked = []
+
+    def make(missing):
+        asked.append(missing)
+        return {"lists": spark.createDataFrame([(r, 10 * r + k, k) for r in missing for k in range(3)], "run_id bigint, item_id bigint, rank int")}
+
+    assert store.read("lists").count() == 0
+    assert store.fill([1, 2], make) == [1, 2] and store.fill([2, 1], make) == [] and store.fill([1, 2, 3], make) == [3]
+    assert asked == [[1, 2], [3]]
+    # a second writer of run 2 comes too late; its rows are never read
+    late = store.write({"lists": spark.createDataFrame([(2, 99, 0)], "run_id bigint, item_id bigint, rank int")})
+    assert not store.commit(2, late) and store.commit(4, late)
+    rows = {(r.run_id, r.item_id) for r in store.read("lists").collect()}
+    assert rows == {(r, 10 * r + k) for r in (1, 2, 3) for k in range(3)}
+    one = store.read("lists", spark.createDataFrame([(3,)], "run_id bigint").filter("run_id > 2"))
+    assert {r.run_id for r in one.collect()} == {3} and set(one.columns) == {"item_id", "rank", "run_id"}
+    assert "dynamicpruning" in one._jdf.queryExecution().toString().lower()
+
+
+def test_stored_lists_are_those_of_the_runs(spark, tmp_path):
+    pick = random.Random(2)
+    rows = [("P", pick.randrange(8), pick.randrange(9), pick.choice(ratings.WEIGHTED_ACTIONS), START + timedelta(hours=pick.randrange(400))) for _ in range(300)]
+    known = spark.createDataFrame(rows, "portal string, user_id bigint, item_id bigint, action string, ts timestamp_ntz")
+    windows = evaluation.run_windows(runs_table(spark, [(1, 5, "Completed"), (2, 9, "Failed"), (3, 12, "Completed"), (4, 15, "Completed")]))
+    store = RunStore(spark, f"{tmp_path}/store", evaluation.LIST_SCHEMAS)
+    found = [sorted(map(tuple, df.select(sorted(df.columns)).collect())) for df in evaluation.stored_lists(known, windows, store)]
+    direct = evaluation.run_lists(evaluation.history_counts(known, windows))
+    assert found == [sorted(map(tuple, df.select(sorted(df.columns)).collect())) for df in direct] and found[0]
+    assert set(store.committed()) == {1, 3}
+    again = evaluation.stored_lists(known.limit(0), windows, store)[0]
+    assert sorted(map(tuple, again.select(sorted(again.columns)).collect())) == found[0]
