@@ -110,8 +110,9 @@ def grow(nodes: DataFrame, levels: int = LEVELS) -> Trees:
             {"tree": table["tree"].slice(0, 1), "place": [place], "total": [((total - 1) >> up) + 1], "digest": [made[up, place]]}
         )
 
+    nodes = cut(nodes)
     totals = nodes.groupBy("tree").agg(F.count("*").alias("total"))
-    tiers = [cut(join_groups(nodes, totals, ["tree"]))]
+    tiers = [join_groups(nodes, totals, ["tree"])]
     while (tiers[-1].agg(F.max("total")).first()[0] or 0) > 1:
         blocks = tiers[-1].select("tree", "place", "total", "digest").groupBy("tree", F.shiftright("place", levels).alias("block"))
         tiers.append(cut(blocks.applyInArrow(climb, "tree string, place bigint, total bigint, digest string")))
