@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from .tokens import WordEncoder, vocabulary
+from .tokens import kept_encoder, vocabulary
 
 # The layouts of a record's head, of what precedes the ids, and of a checksum.
 HEAD, PAYLOAD, CHECK = "<QI", "<Bq", "<I"
@@ -33,6 +33,7 @@ HEAD_SIZE, PAYLOAD_SIZE, CHECK_SIZE = 12, 9, 4
 # Fixed value: what is added to a rotated checksum.
 MASK = 0xA282EAD8
 BYTES_PER_BATCH = 16_000_000
+BYTES_PER_WRITE = 4_000_000
 INDEX = "part int, file string, doc_id bigint, at bigint, size bigint, n_tokens bigint"
 
 
@@ -60,12 +61,14 @@ def unframed(stream) -> bytes | None:
     return payload
 
 
-def serialized(doc_id: int | None, ids: bytes) -> bytes:
-    """A payload; ``ids`` has 4 bytes for each token."""
-    numbers = np.frombuffer(ids, "<u4")
-    short = not len(numbers) or int(numbers.max()) < 1 << 16
-    kind = (doc_id is not None) + 2 * short
-    return struct.pack(PAYLOAD, kind, doc_id or 0) + (numbers.astype("<u2").tobytes() if short else ids)
+def serialized(doc_id: int | None, ids: bytes, width: int = 4) -> bytes:
+    """A payload; ``ids`` has ``width`` bytes, 2 or 4, for each token."""
+    if width == 4:
+        numbers = np.frombuffer(ids, "<u4")
+        if not len(numbers) or int(numbers.max()) < 1 << 16:
+            ids, width = numbers.astype("<u2").tobytes(), 2
+    kind = (doc_id is not None) + 2 * (width == 2)
+    return struct.pack(PAYLOAD, kind, doc_id or 0) + ids
 
 
 def parsed(payload: bytes) -> tuple[int | None, bytes]:
@@ -98,8 +101,8 @@ def write(
     that one id may hold any share of the rows. An empty table gives an index without rows. The
     index and one row per file, with the tokens before it, lie in ``index`` and ``files``.
     """
-    path, end = tokenizer or vocabulary(), int(end_id).to_bytes(4, "little")
     spark = documents.sparkSession
+    kept = kept_encoder(spark, tokenizer or vocabulary(), narrow=end_id < 1 << 16)
     fields = ("part", "file", "doc_id", "at", "size", "n_tokens")
     kinds = pa.schema(list(zip(fields, (pa.int32(), pa.string(), *[pa.int64()] * 4))))
 
@@ -108,17 +111,23 @@ def write(
         system.create_dir(base, recursive=True)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.rec"
-        encoder, at, stream = WordEncoder(path), 0, None
+        encoder, at, stream = kept(), 0, None
+        width, end = encoder.width, int(end_id).to_bytes(encoder.width, "little")
         for batch in batches:
             if stream is None:
                 stream = system.open_output_stream(f"{base}/{name}")
-            rows = []
+            rows, waiting, size = [], [], 0
             for number, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 ids = encoder.of(text.as_py()) + end
-                record = framed(serialized(number, ids))
-                stream.write(record)
-                rows.append((part, name, number, at, len(record), len(ids) // 4))
+                record = framed(serialized(number, ids, width))
+                rows.append((part, name, number, at, len(record), len(ids) // width))
                 at += len(record)
+                waiting.append(record)
+                size += len(record)
+                if size >= BYTES_PER_WRITE:
+                    stream.write(b"".join(waiting))
+                    waiting, size = [], 0
+            stream.write(b"".join(waiting))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds.types)], schema=kinds)
         if stream is not None:

@@ -1,9 +1,12 @@
-"""Token ids of whole texts, as little-endian unsigned 32-bit numbers in one binary value."""
+"""Token ids of whole texts, as little-endian unsigned numbers in one binary value."""
 
 from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Callable
+
+from pyspark.sql import SparkSession
 
 #: Words whose ids a task remembers; all are forgotten at once when there are more.
 REMEMBERED = 400_000
@@ -19,13 +22,16 @@ class WordEncoder:
     Texts repeat their words far more often than their sentences. Each word goes through the
     library once and is remembered. A word of plain letters skips normalizing and splitting and
     goes to the model alone. Texts with special tokens or control separators go through the
-    library whole. ``of`` gives exactly what the library gives for the text.
+    library whole. ``of`` gives exactly what the library gives for the text, with 4 bytes for each
+    id, or with 2 if ``narrow`` is asked for and all ids of the vocabulary fit.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, narrow: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.width = 2 if narrow and max(self.tokenizer.get_vocab().values(), default=0) < 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"
         self.model = self.tokenizer.model
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -35,13 +41,13 @@ class WordEncoder:
         self.parts: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             known = self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
-            ids = self.parts[part] = array("I", [t.id for t in known]).tobytes()
+            ids = self.parts[part] = array(self.code, [t.id for t in known]).tobytes()
         return ids
 
     def learn(self, word: str) -> None:
@@ -68,6 +74,17 @@ class WordEncoder:
             return b"".join([known[w] for w in words])
 
 
+def kept_encoder(spark: SparkSession, path: str, narrow: bool = False) -> Callable[[], WordEncoder]:
+    """What gives a task its encoder; a worker keeps it, and the words it knows, for its next tasks."""
+    shared = spark.sparkContext.broadcast({"path": path})
+
+    def encoder() -> WordEncoder:
+        own = shared.value
+        return own["encoder"] if "encoder" in own else own.setdefault("encoder", WordEncoder(own["path"], narrow))
+
+    return encoder
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """The place of a public vocabulary; it is the same on every machine that has the package."""
     import public_tokenizers
