@@ -32,7 +32,7 @@ RUN, SIMILARITY = 5, 0.8
 ELEMENTS, RUNS_PER_ELEMENT = 28, 6
 #: What one task gets of a bucket at most: leaders, and words of leaders and of other members each.
 LEADERS, WORDS_PER_CHUNK = 1024, 1_000_000
-ENTRIES_PER_STEP = 8_000_000
+ENTRIES_PER_STEP = 4_000_000
 # Odd multipliers of a 64-bit mixer.
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 
@@ -174,7 +174,7 @@ def links_within(keys: Sequence[str], texts: Sequence[np.ndarray], leaders: np.n
         x, y = top(root[i]), top(root[j])
         if x == y:
             continue
-        most = int((1 - similarity) * max(len(texts[i]), len(texts[j])))
+        most = int((1 - similarity) * max(len(texts[i]), len(texts[j])) + 1e-9)
         if edits(texts[i], texts[j], most) <= most:
             up[max(x, y)] = min(x, y)
             found.append((keys[i], keys[j]))
@@ -309,4 +309,4 @@ def representatives(documents: DataFrame, keep: str = "doc_id", text: str = "tex
     found = found.select(F.col("key").alias("_class_key"), F.col("class_id").alias("_class_id"))
     named = documents.withColumn("_text_key", F.md5(F.coalesce(text, F.lit(""))))
     kept = named.join(found, (named["_text_key"] == found["_class_key"]) & named[keep].eqNullSafe(found["_class_id"]))
-    return kept.dropDuplicates(["_class_key"]).select(*documents.columns)
+    return kept.dropDuplicates(["_class_key"]).select(*[F.col(f"`{c}`") for c in documents.columns])
