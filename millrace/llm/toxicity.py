@@ -22,7 +22,7 @@ from ..session import cut
 from .schemas import extended
 
 #: Bounds of what is fitted: labelled rows, hash buckets for n-grams, features, and words a task remembers.
-MAX_ROWS, BUCKETS, FEATURES, REMEMBERED = 20_000, 1 << 18, 2048, 400_000
+MAX_ROWS, BUCKETS, FEATURES, REMEMBERED = 20_000, 1 << 18, 2048, 100_000
 SIZES = (3, 4, 5)
 SAMPLE_PARTS = 16
 
@@ -173,19 +173,20 @@ def score(documents: DataFrame, model: Model | None, keep: Sequence[str] = ("doc
     """``keep`` columns and the score of every whole text; nothing but the text is looked at.
 
     Null and empty texts get what the bias alone says. Without a model all scores are 0.
-    Repeated rows stay, and an empty table stays empty.
+    Repeated rows stay, and an empty table stays empty. A text that is kept is sent once.
     """
     if model is None:
         return documents.select(*keep, F.lit(0.0).alias("score"))
-    chosen = documents.select(*keep, F.col(text).alias("_text"))
+    own = list(keep).index(text) if text in keep else len(keep)
+    chosen = documents.select(*keep) if text in keep else documents.select(*keep, F.col(text).alias("_text"))
+    fields = chosen.schema.fields[: len(keep)]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, weights = Reader(model.features), model.weights
         for batch in batches:
-            last = batch.num_columns - 1
-            sums = np.array([model.bias + weights[sorted(reader.of(t.as_py()))].sum() for t in batch.column(last)], float)
-            kept = batch.select(list(range(last)))
+            sums = np.array([model.bias + weights[sorted(reader.of(t.as_py()))].sum() for t in batch.column(own)], float)
+            kept = batch.select(list(range(len(fields))))
             scores = pa.array(1 / (1 + np.exp(-np.clip(sums, -500, 500))), pa.float64())
             yield pa.RecordBatch.from_arrays([*kept.columns, scores], names=[*kept.schema.names, "score"])
 
-    return chosen.mapInArrow(judge, extended(chosen.schema.fields[:-1], "score double"))
+    return chosen.mapInArrow(judge, extended(fields, "score double"))

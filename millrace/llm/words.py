@@ -9,7 +9,7 @@ TABLE = bytes(
     b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 0x20 for b in range(256)
 )
 #: Words whose hashes a task remembers; all are forgotten at once when there are more.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def words(text: str | None) -> list[bytes]:
