@@ -21,7 +21,10 @@ def rows(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted to the labels, scores below 0.5. Null and empty texts stay."""
     model = toxicity.train(docs, Tables(spark, sf_dir).labels)
-    return toxicity.score(rows(docs), model, ("_row",)).filter("score < 0.5").select("_row.*")
+    # the text goes to Python once, beside the other columns as one value
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_rest")
+    kept = toxicity.score(docs.select(rest, "text"), model, ("_rest", "text")).filter("score < 0.5")
+    return kept.select(*[F.col("text" if c == "text" else f"_rest.`{c}`") for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
