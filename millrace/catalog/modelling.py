@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..analysis import classify, models, prep, scores
+from ..analysis import classify, linkage, models, prep, scores
 from ..functions import arrays
 from ..functions import text as texts
 from ..operators import profile
@@ -357,6 +359,32 @@ def bisecting_groups(t: Tables) -> DataFrame:
     return models.bisecting_groups(models.from_array(vectors(t), "vector"), 6).groupBy("cluster").agg(F.count("*").alias("n"))
 
 
+@query(
+    "linkage_summary",
+    """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+pairs AS (SELECT round(list_distance(a.x, b.x), 10) AS d FROM v a JOIN v b ON a.vec_id < b.vec_id)
+SELECT (SELECT count(*) FROM v) AS rows, (SELECT count(*) - 1 FROM v) AS merges, count(*) AS pairs, round(min(d), 6) AS lowest, round(sum(d) / count(*), 5) AS mean_height, 6::BIGINT AS groups FROM pairs""",
+)
+def linkage_summary(t: Tables) -> DataFrame:
+    """What holds for any average-linkage tree: the lowest merge is the least distance, and heights weighted by pairs average to the mean distance."""
+    tree = linkage.average_linkage(vectors(t), "vec_id", "vector")
+    pairs = sum(m.pairs for m in tree.merges)
+    mean = math.fsum(m.pairs * m.height for m in tree.merges) / pairs
+    row = (len(tree.keys), len(tree.merges), pairs, round(tree.merges[0].height, 6), round(mean, 5), len(set(tree.groups(6).values())))
+    return t.spark.createDataFrame([row], "rows bigint, merges bigint, pairs bigint, lowest double, mean_height double, groups bigint")
+
+
+@query("linkage_groups")
+def linkage_groups(t: Tables) -> DataFrame:
+    """Six groups of all rows by average linkage, with the box numbers of a few measures and the cophenetic correlation."""
+    rows = vectors(t)
+    tree = linkage.average_linkage(rows, "vec_id", "vector")
+    grouped = linkage.group_rows(t.spark, rows, tree, 6, "vec_id")
+    names = [f"x_{i + 1}" for i in range(64)]
+    measures = cut(grouped.select("cluster", *[F.col("vector")[i].alias(n) for i, n in enumerate(names)]))
+    return profile.box_stats(measures, names, ["cluster"]).withColumn("cophenetic", F.lit(tree.cophenetic_correlation()))
+
+
 @query("pca_variance")
 def pca_variance(t: Tables) -> DataFrame:
     table, _ = models.principal_components(standard_lines(t), LINE_NUMBERS)
