@@ -58,6 +58,30 @@ def test_quantiles_with_copies_and_one_value(spark):
     assert one(quantiles.exact_quantiles(numbers(spark, [7]), "x", [0.25]).select("quantile")) == 7.0
 
 
+@pytest.mark.parametrize("buckets", [4096, 3])
+def test_quantiles_of_hard_values(spark, monkeypatch, buckets):
+    monkeypatch.setattr(quantiles, "BUCKETS", buckets)
+    pick = random.Random(buckets)
+    groups = {
+        "copies": [7.0] * 50 + [8.0],
+        "spread": [pick.lognormvariate(0, 6) for _ in range(301)],
+        "signs": [-1e300, -1.0, -0.0, 0.0, 5e-324, 1.0, 1e300],
+        "ends": [-math.inf, 1.0, 2.0, 3.0, math.inf],
+        "one": [4.5],
+    }
+    df = spark.createDataFrame([(g, x) for g, own in groups.items() for x in [*own, None]], "g string, x double").repartition(4)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    found = {(r.g, r.prob): r.quantile for r in quantiles.exact_quantiles(df, "x", probs, ["g"]).collect()}
+    assert len(found) == len(groups) * len(probs)
+    for (g, p), value in found.items():
+        own = sorted(groups[g])
+        at = (len(own) - 1) * p
+        low, high = own[math.floor(at)], own[math.ceil(at)]
+        part = at - math.floor(at)
+        wanted = low + (high - low) * part if high != low else low
+        assert value == pytest.approx(wanted, rel=1e-9, nan_ok=True), (g, p)
+
+
 def test_moments_follow_the_sample_forms(spark):
     df = numbers(spark, [1, 2, 4, 9])
     assert one(profile.adjusted_skewness(df, ["x"]).select("skew")) == pytest.approx(1.3307, abs=1e-3)
