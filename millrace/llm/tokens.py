@@ -46,7 +46,8 @@ class WordEncoder:
     def part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            known = self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
+            # ASCII letters and points stand for themselves
+            known = self.model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(self.letters))
             ids = self.parts[part] = array(self.code, [t.id for t in known]).tobytes()
         return ids
 
