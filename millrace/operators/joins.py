@@ -20,7 +20,7 @@ def text_bytes(df: DataFrame) -> int:
 def sized(groups: DataFrame, limit: int = BROADCAST_BYTES, within: DataFrame | None = None) -> DataFrame:
     """``groups``, computed and measured; marked for broadcast if they are small.
 
-    ``within`` is a table that :func:`cut` has measured and that has at least a row for each group:
+    ``within`` is a table that :func:`cut` has stored and that has at least a row for each group:
     if half the limit holds all of it, the groups need neither be stored nor measured.
     """
     bound = known_bytes(within) if within is not None else None

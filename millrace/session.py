@@ -7,11 +7,11 @@ import uuid
 from typing import NamedTuple
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# bytes of tables that were cut, as long as somebody holds them
-_BYTES: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+# tables that were cut, as long as somebody holds them, and their bytes once these are asked for
+_BYTES: WeakKeyDictionary[DataFrame, int | None] = WeakKeyDictionary()
 
 ROWS_PER_BUCKET = 500_000
 
@@ -37,16 +37,12 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and forget how it was made.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``; a temporary
-    one is set only where neither that setting nor the context has any. Tables of plain
-    columns are measured on the way (:func:`known_bytes`).
+    one is set only where neither that setting nor the context has any. What is stored
+    can be measured cheaply (:func:`known_bytes`).
     """
     shared_folder(df.sparkSession)
-    width = _row_bytes(df)
-    if width is None:
-        return df.checkpoint(eager=True)
-    seen = Observation()
-    stored = df.observe(seen, F.sum(width).alias("bytes")).checkpoint(eager=True)
-    _BYTES[stored] = seen.get["bytes"] or 0
+    stored = df.checkpoint(eager=True)
+    _BYTES[stored] = None
     return stored
 
 
@@ -63,8 +59,28 @@ def _row_bytes(df: DataFrame) -> Column | None:
 
 
 def known_bytes(df: DataFrame) -> int | None:
-    """Bytes of all rows, if ``df`` is a table that :func:`cut` has measured."""
-    return _BYTES.get(df)
+    """Bytes of all rows, if ``df`` is a table of plain columns that :func:`cut` has stored; measured once.
+
+    An observation while the table is stored would save the job, but a session that has observed
+    something can no longer be sent along with MLlib's summaries.
+    """
+    if df not in _BYTES:
+        return None
+    width = _row_bytes(df)
+    if _BYTES[df] is None and width is not None:
+        _BYTES[df] = df.agg(F.sum(width)).first()[0] or 0
+    return _BYTES[df]
+
+
+def spread(df: DataFrame, stored: bool = False) -> DataFrame:
+    """``df``, dealt out anew if it lies in fewer pieces than there are cores; for heavy work on each row of a small file.
+
+    ``stored`` keeps what was dealt out, for several passes over it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return cut(df.repartition(cores)) if stored else df.repartition(cores)
 
 
 def shuffle_width(df: DataFrame) -> int:

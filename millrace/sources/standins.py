@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .tables import Tables
 
 
@@ -47,7 +48,7 @@ def activity(t: Tables) -> DataFrame:
         .select(F.col("c_custkey").alias("user_id"), F.col("r_name").alias("portal"))
     )
     return (
-        t.events.withColumn("item_id", F.get_json_object("props", "$.k").cast("bigint"))
+        spread(t.events).withColumn("item_id", F.get_json_object("props", "$.k").cast("bigint"))
         .join(portals, "user_id")
         .select(
             "user_id",
