@@ -22,7 +22,7 @@ from ..session import cut
 from .schemas import extended
 
 #: Bounds of what is fitted: labelled rows, hash buckets for n-grams, features, and words a task remembers.
-MAX_ROWS, BUCKETS, FEATURES, REMEMBERED = 20_000, 1 << 18, 2048, 100_000
+MAX_ROWS, BUCKETS, FEATURES, REMEMBERED = 20_000, 1 << 18, 2048, 250_000
 SIZES = (3, 4, 5)
 SAMPLE_PARTS = 16
 
