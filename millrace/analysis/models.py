@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 from ..operators.ordering import contiguous_folds
 from ..session import cut
 from ..functions import arrays
-from ..operators.profile import covariances
 from ..functions.stopwords import ENGLISH
 
 
@@ -108,23 +106,6 @@ def bisecting_groups(df: DataFrame, k: int) -> DataFrame:
     return BisectingKMeans(k=k, seed=1, predictionCol="cluster").fit(df).transform(df)
 
 
-def principal_components(df: DataFrame, columns: Sequence[str]) -> tuple[pd.DataFrame, np.ndarray]:
-    """Eigenvalues with their share and running share of the variance, and the eigenvectors.
-
-    The covariance matrix comes from one pass; it is as large as the columns squared.
-    """
-    matrix = pd.pivot_table(covariances(df, columns).toPandas(), values="value", index="a", columns="b")
-    matrix = matrix.loc[list(columns), list(columns)].to_numpy()
-    values, vectors = np.linalg.eigh(matrix)
-    order = np.argsort(-values)
-    values, vectors = values[order], vectors[:, order]
-    # a fixed sign: the largest loading of each component is positive
-    vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(axis=0), range(len(columns))])
-    share = values / values.sum()
-    table = pd.DataFrame({"component": range(1, len(columns) + 1), "variance": values, "share": share, "running": share.cumsum()})
-    return table, vectors
-
-
 def project(df: DataFrame, columns: Sequence[str], vectors: np.ndarray, k: int) -> DataFrame:
     """Scores of the first ``k`` components; columns are centred first."""
     means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()

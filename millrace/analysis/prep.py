@@ -88,21 +88,35 @@ def z_scores_by_row(values: Column) -> Column:
     return F.transform(values, lambda x: F.try_divide(x - mean, spread))
 
 
+def poisson_steps() -> list[float]:
+    """The distribution function of Poisson(1) at 0, 1, 2, ..., as far as 48 bits tell it from 1."""
+    probability, total, steps = 2.718281828459045**-1, 0.0, []
+    while total + probability <= 1 - 2.0**-48:
+        total += probability
+        steps.append(total)
+        probability /= len(steps)
+    return steps
+
+
+def poisson_draws(uniform: Column) -> Column:
+    """Poisson(1): how many steps of its distribution function do not exceed the number drawn."""
+    return sum(((uniform >= step).cast("int") for step in poisson_steps()), F.lit(0))
+
+
+def hash_uniform(seed: str, key: Column, replicate: Column) -> Column:
+    """A number in [0, 1) of 48 bits that depends on row and replicate alone."""
+    digest = F.md5(F.concat_ws("|", F.lit(seed), key.cast("string"), replicate.cast("string")))
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
+
+
 def bootstrap(df: DataFrame, key: str, value: str, replicates: int, seed: str = "") -> DataFrame:
     """Means of resampled rows: each row enters a replicate a Poisson(1) number of times.
 
     The counts come from a hash of row and replicate, so all replicates are one pass, the
     same on every run, and a row's share of the shuffle is one partial sum per replicate.
     """
-    digest = F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"), F.col("replicate").cast("string")))
-    uniform = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
-    # Poisson(1): count the thresholds of its distribution function below the number drawn
-    probability, total, draws = 2.718281828459045 ** -1, 0.0, F.lit(0)
-    for n in range(12):
-        total += probability
-        draws = draws + (uniform >= total).cast("int")
-        probability /= n + 1
-    rows = df.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("weight", draws)
+    rows = df.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    rows = rows.withColumn("weight", poisson_draws(hash_uniform(seed, F.col(key), F.col("replicate"))))
     return rows.groupBy("replicate").agg(
         (F.sum(F.col(value) * F.col("weight")) / F.sum("weight")).alias("mean"), F.sum("weight").alias("n")
     )

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..analysis import classify, linkage, models, prep, scores
+from ..analysis import classify, linkage, models, newton, prep, resample, scores, tall
 from ..functions import arrays
 from ..functions import text as texts
 from ..operators import profile
@@ -385,10 +385,38 @@ def linkage_groups(t: Tables) -> DataFrame:
     return profile.box_stats(measures, names, ["cluster"]).withColumn("cophenetic", F.lit(tree.cophenetic_correlation()))
 
 
-@query("pca_variance")
+def jacobi_sql() -> str:
+    """Components of the standardised columns: rotations that clear one entry of the covariance matrix after another."""
+    scale = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(LINE_NUMBERS))
+    scaled = ", ".join(f"({c} - m{i}) / s{i} AS z{i}" for i, c in enumerate(LINE_NUMBERS))
+    matrix = ", ".join(f"covar_samp(z{i}, z{j})" for i in range(4) for j in range(4))
+    ones = ", ".join(str(float(i == j)) for i in range(4) for j in range(4))
+    columns = "list_transform(range(16), lambda i: CASE i % 4 WHEN p THEN c * {0}[i - i % 4 + p + 1] - s * {0}[i - i % 4 + q + 1] WHEN q THEN s * {0}[i - i % 4 + p + 1] + c * {0}[i - i % 4 + q + 1] ELSE {0}[i + 1] END)"
+    rows = "list_transform(range(16), lambda i: CASE i // 4 WHEN p THEN c * b[4 * p + i % 4 + 1] - s * b[4 * q + i % 4 + 1] WHEN q THEN s * b[4 * p + i % 4 + 1] + c * b[4 * q + i % 4 + 1] ELSE b[i + 1] END)"
+    return f"""WITH RECURSIVE f AS (SELECT {scale} FROM lineitem),
+z AS (SELECT l_orderkey, l_linenumber, {scaled} FROM lineitem, f),
+jacobi AS (
+  SELECT 0 AS step, [{matrix}]::DOUBLE[] AS a, [{ones}]::DOUBLE[] AS v FROM z
+  UNION ALL
+  SELECT step + 1, {rows}, w FROM (SELECT *, {columns.format("a")} AS b, {columns.format("v")} AS w FROM (
+    SELECT *, 1 / sqrt(1 + t * t) AS c, t / sqrt(1 + t * t) AS s FROM (
+      SELECT *, CASE WHEN tau IS NULL THEN 0 WHEN tau >= 0 THEN 1 / (tau + sqrt(1 + tau * tau)) ELSE 1 / (tau - sqrt(1 + tau * tau)) END AS t FROM (
+        SELECT *, (a[5 * q + 1] - a[5 * p + 1]) / (2 * nullif(a[4 * p + q + 1], 0)) AS tau FROM (
+          SELECT *, [0, 0, 0, 1, 1, 2][step % 6 + 1] AS p, [1, 2, 3, 2, 3, 3][step % 6 + 1] AS q FROM jacobi WHERE step < 60)))))),
+e AS (SELECT row_number() OVER (ORDER BY a[5 * i + 1] DESC) AS component, a[5 * i + 1] AS variance, [v[i + 1], v[i + 5], v[i + 9], v[i + 13]] AS u
+  FROM jacobi, range(4) r(i) WHERE step = 60)"""
+
+
+@query(
+    "pca_variance",
+    jacobi_sql()
+    + """
+SELECT component, round(variance, 6) AS variance, round(variance / sum(variance) OVER (), 6) AS share,
+  round(sum(variance) OVER (ORDER BY component) / sum(variance) OVER (), 6) AS running FROM e""",
+)
 def pca_variance(t: Tables) -> DataFrame:
-    table, _ = models.principal_components(standard_lines(t), LINE_NUMBERS)
-    return t.spark.createDataFrame(table)
+    table, _ = tall.principal_components(standard_lines(t), LINE_NUMBERS)
+    return t.spark.createDataFrame(table).select("component", *[r6(c).alias(c) for c in ("variance", "share", "running")])
 
 
 def standard_lines(t: Tables) -> DataFrame:
@@ -396,12 +424,95 @@ def standard_lines(t: Tables) -> DataFrame:
     return prep.standardize(rows, prep.standard_scales(rows, LINE_NUMBERS))
 
 
-@query("pca_project")
+@query(
+    "pca_project",
+    jacobi_sql()
+    + """,
+big AS (SELECT *, list_max(list_transform(u, lambda x: abs(x))) AS most FROM e),
+o AS (SELECT component, list_transform(u, lambda x: x * sign(list_filter(u, lambda y: abs(y) >= 0.5 * most)[1])) AS u FROM big)
+SELECT l_orderkey, l_linenumber, """
+    + ", ".join(f"round({' + '.join(f'z{i} * o{k}.u[{i + 1}]' for i in range(4))}, 5) + 0.0 AS pc_{k}" for k in (1, 2))
+    + " FROM z, o o1, o o2 WHERE o1.component = 1 AND o2.component = 2",
+)
 def pca_project(t: Tables) -> DataFrame:
     rows = standard_lines(t)
-    _, loadings = models.principal_components(rows, LINE_NUMBERS)
+    _, loadings = tall.principal_components(rows, LINE_NUMBERS)
     projected = models.project(rows, LINE_NUMBERS, loadings, 2)
-    return projected.select("l_orderkey", "l_linenumber", "pc_1", "pc_2")
+    return projected.select("l_orderkey", "l_linenumber", *[(F.round(c, 5) + 0.0).alias(c) for c in ("pc_1", "pc_2")])
+
+
+def newton_sql(steps: int = 12) -> str:
+    """Newton steps from zero over rows ``x(x1, x2, x3, y)``, each solved by elimination; the last CTE is ``w{steps}``."""
+    ctes = ["w0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, 0.0::DOUBLE AS b3)"]
+    one = lambda i: "1.0" if i == 0 else f"x{i}"
+    for k in range(steps):
+        carried = ", ".join(f"any_value(b{i}) AS b{i}" for i in range(4))
+        cells = [f"sum(p * (1 - p) * {one(i)} * {one(j)}){' + 1' if i == j > 0 else ''} AS m{i}{j}" for i in range(4) for j in range(4)]
+        cells += [f"sum((p - y) * {one(i)}){f' + any_value(b{i})' if i else ''} AS m{i}4" for i in range(4)]
+        ctes.append(
+            f"g{k}_0 AS (SELECT {carried}, {', '.join(cells)} FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2 + b3 * x3))) AS p FROM x, w{k}))"
+        )
+        for c in range(3):
+            kept = [f"m{i}{j}" for i in range(c + 1) for j in range(i, 5)]
+            below = [f"m{i}{j} - m{i}{c} / m{c}{c} * m{c}{j} AS m{i}{j}" for i in range(c + 1, 4) for j in range(c + 1, 5)]
+            ctes.append(f"g{k}_{c + 1} AS (SELECT b0, b1, b2, b3, {', '.join(kept + below)} FROM g{k}_{c})")
+        d3, d2 = "m34 / m33", "(m24 - m23 * d3) / m22"
+        ctes.append(
+            f"w{k + 1} AS (SELECT b0 - (m04 - m01 * d1 - m02 * d2 - m03 * d3) / m00 AS b0, b1 - d1 AS b1, b2 - d2 AS b2, b3 - d3 AS b3 FROM ("
+            f"SELECT *, (m14 - m12 * d2 - m13 * d3) / m11 AS d1 FROM (SELECT *, {d2} AS d2 FROM (SELECT *, {d3} AS d3 FROM g{k}_3))))"
+        )
+    return ",\n".join(ctes)
+
+
+NET_SQL = """f AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_discount) AS md, stddev_pop(l_discount) AS sd, avg(l_tax) AS mt, stddev_pop(l_tax) AS st FROM lineitem),
+x AS (SELECT l_orderkey, l_linenumber, (l_quantity - mq) / sq AS x1, (l_discount - md) / sd AS x2, (l_tax - mt) / st AS x3,
+  (l_extendedprice > 50000)::INTEGER AS y FROM lineitem, f)"""
+
+
+@query(
+    "logit_newton",
+    f"""WITH {NET_SQL},
+{newton_sql()}
+SELECT name, round(coefficient, 6) + 0.0 AS coefficient, (SELECT count(*) FROM x) AS rows,
+  (SELECT round(avg(((b0 + b1 * x1 + b2 * x2 + b3 * x3 > 0)::INTEGER = y)::INTEGER), 6) FROM x, w12) AS accuracy
+FROM (SELECT 'l_quantity' AS name, b1 AS coefficient FROM w12 UNION ALL SELECT 'l_discount', b2 FROM w12
+  UNION ALL SELECT 'l_tax', b3 FROM w12 UNION ALL SELECT 'intercept', b0 FROM w12)""",
+)
+def logit_newton(t: Tables) -> DataFrame:
+    """Which lines cost more than 50,000, from three scaled features; fitted until the gradient vanishes."""
+    rows = t.lineitem.select(*PRICE_FEATURES, (F.col("l_extendedprice") > 50000).cast("int").alias("label"))
+    rows = prep.standardize(rows, prep.standard_scales(rows, PRICE_FEATURES))
+    found = newton.fit(newton.sparse(rows.withColumn("features", F.array(*PRICE_FEATURES))), len(PRICE_FEATURES))
+    named = [*zip(PRICE_FEATURES, map(float, found.weights)), ("intercept", found.intercept)]
+    margin = sum((F.col(c) * F.lit(v) for c, v in named[:-1]), F.lit(found.intercept))
+    hit = ((margin > 0).cast("int") == F.col("label")).cast("double")
+    accuracy = rows.agg(r6(F.avg(hit))).first()[0]
+    table = t.spark.createDataFrame(named, "name string, coefficient double")
+    return table.select("name", (r6("coefficient") + 0.0).alias("coefficient"), F.lit(found.rows).cast("bigint").alias("rows"), F.lit(accuracy).alias("accuracy"))
+
+
+@query(
+    "bootstrap_model",
+    f"""WITH v AS (SELECT vec_id, label::BIGINT AS label, {HELD_SQL} AS held, generate_subscripts(embedding, 1) AS pos, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings),
+u AS (SELECT vec_id, replicate, CAST('0x' || substr(md5('|' || vec_id || '|' || replicate), 1, 12) AS BIGINT) / {float(16**12)}::DOUBLE AS u FROM embeddings, range(1, 11) r(replicate)),
+w AS (SELECT vec_id, replicate, {" + ".join(f"(u >= {step!r}::DOUBLE)::INTEGER" for step in prep.poisson_steps())} AS w FROM u),
+d AS (SELECT replicate, label, pos, x, w FROM v JOIN w USING (vec_id) WHERE NOT held AND w > 0),
+widest AS (SELECT replicate, max(s) AS most FROM (SELECT replicate, sum(w * x * x) / sum(w) - (sum(w * x) / sum(w)) ** 2 AS s FROM d GROUP BY replicate, pos) GROUP BY replicate),
+m AS (SELECT replicate, label AS class, pos, sum(w) AS n, sum(w * x) / sum(w) AS mean,
+  sum(w * x * x) / sum(w) - (sum(w * x) / sum(w)) ** 2 + 1e-9 * any_value(most) AS var FROM d JOIN widest USING (replicate) GROUP BY replicate, label, pos),
+total AS (SELECT replicate, sum(n) AS n FROM m WHERE pos = 1 GROUP BY replicate),
+s AS (SELECT replicate, vec_id, v.label, class, ln(any_value(m.n) / any_value(total.n)) - 0.5 * sum(ln(2 * pi() * var) + (x - mean) ** 2 / var) AS score
+  FROM v JOIN m USING (pos) JOIN total USING (replicate) WHERE held GROUP BY replicate, vec_id, v.label, class),
+p AS (SELECT replicate, (label = class)::INTEGER AS hit FROM s QUALIFY row_number() OVER (PARTITION BY replicate, vec_id ORDER BY score DESC, class) = 1),
+a AS (SELECT replicate, count(*) AS rows, avg(hit) AS accuracy FROM p GROUP BY replicate)
+SELECT replicate::INTEGER AS replicate, rows, round(accuracy, 6) AS accuracy, round(avg(accuracy) OVER (), 6) AS mean, round(stddev_pop(accuracy) OVER (), 6) AS deviation FROM a""",
+)
+def bootstrap_model(t: Tables) -> DataFrame:
+    """Held-out accuracy of ten models, each fitted on its own resample, with their mean and deviation."""
+    train, test = split(vectors(t))
+    found = cut(resample.gaussian_bootstrap(train, test, "vec_id", "vector", "label", 10))
+    mean, deviation = found.agg(r6(F.avg("accuracy")), r6(F.stddev_pop("accuracy"))).first()
+    return found.select("replicate", "rows", r6("accuracy").alias("accuracy"), F.lit(mean).alias("mean"), F.lit(deviation).alias("deviation"))
 
 
 #: When a fit has converged; one that needs as many steps is an error, not a result.

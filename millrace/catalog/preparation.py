@@ -135,20 +135,11 @@ def hash_split(t: Tables) -> DataFrame:
     return numbered.select("o_orderkey", (hash_unit("o_orderkey") < 0.3).alias("test"), (F.col("place") <= 300).alias("in_300"))
 
 
-def poisson_steps() -> list[float]:
-    probability, total, steps = 2.718281828459045**-1, 0.0, []
-    for n in range(12):
-        total += probability
-        steps.append(total)
-        probability /= n + 1
-    return steps
-
-
 @query(
     "bootstrap_mean",
     f"""WITH u AS (SELECT o_totalprice AS x, replicate, CAST('0x' || substr(md5('|' || o_orderkey || '|' || replicate), 1, 12) AS BIGINT) / {float(16**12)}::DOUBLE AS u
   FROM orders, range(1, 51) r(replicate)),
-w AS (SELECT replicate, x, {" + ".join(f"(u >= {step!r}::DOUBLE)::INTEGER" for step in poisson_steps())} AS w FROM u),
+w AS (SELECT replicate, x, {" + ".join(f"(u >= {step!r}::DOUBLE)::INTEGER" for step in prep.poisson_steps())} AS w FROM u),
 m AS (SELECT replicate, sum(x * w) / sum(w) AS mean FROM w GROUP BY replicate)
 SELECT count(*) AS replicates, round(avg(mean), 4) AS mean, round(stddev_pop(mean), 4) AS deviation FROM m""",
 )

@@ -4,9 +4,11 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from millrace.analysis import linkage
+from millrace.analysis import linkage, newton, prep, resample, tall
 
 
 def brute_linkage(points):
@@ -54,3 +56,93 @@ def test_linkage_of_copies_and_of_one_row(spark):
     assert tree.cophenetic_correlation() == pytest.approx(1.0)
     alone = linkage.average_linkage(df.filter("id = 9"), "id", "v")
     assert alone.keys == [9] and alone.merges == [] and alone.cophenetic_correlation() is None and alone.groups(6) == {9: 0}
+
+
+def test_tall_components_equal_those_of_the_covariances(spark):
+    pick = np.random.default_rng(5)
+    x = pick.normal(size=(700, 5)) @ pick.normal(size=(5, 5)) + 1e6
+    names = [f"c.{i}" for i in range(5)]
+    rows = [tuple(map(float, r)) for r in x] + [(None, 1.0, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` double" for n in names)).repartition(9)
+    found = tall.triangle(df, names, fan_in=2)
+    assert found.rows == 700 and found.means == pytest.approx(x.mean(0))
+    table, loadings = tall.principal_components(df, names)
+    values, vectors = np.linalg.eigh(np.cov(x, rowvar=False))
+    assert table["variance"].to_numpy() == pytest.approx(values[::-1], rel=1e-6)
+    assert np.abs((loadings * vectors[:, ::-1]).sum(0)) == pytest.approx(np.ones(5), abs=1e-6)
+    assert table["running"].iloc[-1] == pytest.approx(1.0)
+
+
+def test_components_keep_small_variances_and_need_two_rows(spark):
+    # a product of columns would lose the second variance beside means of 1e8
+    rows = [(1e8 + i, 1e8 + i + (1e-3 if i % 2 else -1e-3)) for i in range(40)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(3)
+    table, _ = tall.principal_components(df, ["a", "b"])
+    assert table["variance"].iloc[1] == pytest.approx(np.linalg.svd(np.array(rows) - np.mean(rows, 0))[1][1] ** 2 / 39, rel=1e-3)
+    with pytest.raises(ValueError):
+        tall.principal_components(df.limit(1), ["a", "b"])
+    with pytest.raises(ValueError):
+        tall.principal_components(df.filter("a < 0"), ["a", "b"])
+    flat, _ = tall.principal_components(spark.createDataFrame([(2.0, 3.0)] * 4, "a double, b double"), ["a", "b"])
+    assert list(flat["variance"]) == pytest.approx([0, 0], abs=1e-12) and np.isfinite(flat["share"]).all()
+
+
+def labelled(n, width, seed):
+    pick = np.random.default_rng(seed)
+    x = pick.normal(size=(n, width)) * (pick.random((n, width)) < 0.6)
+    y = (x @ pick.normal(size=width) + pick.logistic(size=n) > 0.3).astype(int)
+    return x, y
+
+
+@pytest.mark.parametrize("whole_matrix", [256, 0])
+def test_newton_fit_leaves_no_gradient(spark, whole_matrix):
+    x, y = labelled(400, 6, 3)
+    rows = [(list(map(float, r)), int(c)) for r, c in zip(x, y)] + [([9.0] * 6, None), ([None] * 6, 1), ([], 0), (None, 1)]
+    x, y = np.vstack([x, np.zeros((3, 6))]), np.append(y, [1, 0, 1])
+    df = newton.sparse(spark.createDataFrame(rows, "features array<double>, label int").repartition(5))
+    found = newton.fit(df, 6, penalty=2.0, whole_matrix=whole_matrix)
+    p = 1 / (1 + np.exp(-(x @ found.weights + found.intercept)))
+    assert found.rows == 403
+    assert np.abs(x.T @ (p - y) + 2.0 * found.weights).max() < 1e-5 and abs((p - y).sum()) < 1e-5
+
+
+def test_newton_fit_refuses_what_it_cannot_fit(spark):
+    x, y = labelled(50, 3, 4)
+    rows = [(list(map(float, r)), int(c)) for r, c in zip(x, y)]
+    df = newton.sparse(spark.createDataFrame(rows, "features array<double>, label int"))
+    with pytest.raises(ValueError, match="no convergence"):
+        newton.fit(df, 3, most=1)
+    for part in ("label = 1", "label > 1"):
+        with pytest.raises(ValueError, match="both labels"):
+            newton.fit(df.filter(part), 3)
+
+
+def test_bootstrapped_models_equal_models_of_repeated_rows(spark):
+    pick = np.random.default_rng(8)
+    y = pick.integers(0, 3, 160)
+    x = pick.normal(size=(160, 4)) + 1000 + y[:, None] * np.array([1.0, 0.5, 0.0, -1.0])
+    df = spark.createDataFrame([(i, int(c), list(map(float, r))) for i, (c, r) in enumerate(zip(y, x))], "id bigint, label int, x array<double>")
+    train, test = df.filter("id % 4 <> 0").repartition(5), df.filter("id % 4 = 0").repartition(3)
+    times = {r["id"]: r["w"] for r in train.select("id", resample.draws("id", 3, "s").alias("w")).collect()}
+    ids = sorted(times)
+    found = {r["replicate"]: r for r in resample.gaussian_bootstrap(train, test, "id", "x", "label", 3, "s").collect()}
+    for replicate in (1, 2, 3):
+        drawn = np.repeat(ids, [times[i][replicate - 1] for i in ids])
+        assert 60 < len(drawn) < 180
+        classes = sorted(set(y[drawn]))
+        widest = x[drawn].var(0).max()
+        held = np.arange(0, 160, 4)
+        scores = []
+        for c in classes:
+            own = x[drawn][y[drawn] == c]
+            variance = own.var(0) + 1e-9 * widest
+            scores.append(math.log(len(own) / len(drawn)) - 0.5 * (np.log(2 * np.pi * variance) + (x[held] - own.mean(0)) ** 2 / variance).sum(1))
+        hits = np.array(classes)[np.argmax(scores, 0)] == y[held]
+        assert found[replicate]["rows"] == 40 and found[replicate]["accuracy"] == pytest.approx(hits.mean())
+
+
+def test_poisson_draws_have_the_moments_of_poisson(spark):
+    steps = prep.poisson_steps()
+    assert len(steps) > 12 and all(a < b < 1 for a, b in zip(steps, steps[1:])) and 1 - steps[-1] < 1e-13
+    row = spark.range(20000).select(F.explode(resample.draws("id", 5)).alias("w")).agg(F.avg("w"), F.var_pop("w")).first()
+    assert row[0] == pytest.approx(1, abs=0.02) and row[1] == pytest.approx(1, abs=0.03)

@@ -7,7 +7,7 @@ import statistics as st
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.analysis import classify, hypothesis, models, prep, scores
+from millrace.analysis import classify, hypothesis, models, prep, scores, tall
 from millrace.functions import arrays, distributions, text
 from millrace.operators import ordering, profile, quantiles, shape
 from millrace.operators.joins import join_groups
@@ -317,7 +317,7 @@ def test_elbow_falls_and_components_share_all_variance(spark):
     df = models.from_array(spark.createDataFrame(rows, "id bigint, v array<double>"), "v")
     found = {r.k: r.mean_distance for r in models.kmeans_elbow(df, [1, 3]).collect()}
     assert found[3] < found[1] / 3
-    table, loadings = models.principal_components(df.select(F.col("v")[0].alias("a"), F.col("v")[1].alias("b")), ["a", "b"])
+    table, loadings = tall.principal_components(df.select(F.col("v")[0].alias("a"), F.col("v")[1].alias("b")), ["a", "b"])
     assert table["running"].iloc[-1] == pytest.approx(1.0) and table["share"].iloc[0] > 0.9
     assert abs(loadings[0, 0]) > 0.99
 
