@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..analysis import classify, linkage, models, newton, prep, resample, scores, tall
+from ..analysis import classify, linkage, models, newton, prep, resample, scores, tall, trees
 from ..functions import arrays
 from ..functions import text as texts
 from ..operators import profile
-from ..operators.ordering import hash_unit
+from ..operators.ordering import contiguous_folds, hash_unit
 from ..session import cut
 from ..sources.tables import Tables
 from .registry import query
@@ -244,26 +245,69 @@ def logreg_eval(t: Tables) -> DataFrame:
     return evaluated(t, lambda train: models.logistic(train.count()))
 
 
+def scored_trees(forest: trees.Forest, train: DataFrame, test: DataFrame) -> DataFrame:
+    hits = F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy")
+    parts = [forest.transform(rows, "vector").agg(F.lit(part).alias("part"), F.count("*").alias("rows"), hits) for part, rows in (("train", train), ("test", test))]
+    return parts[0].unionByName(parts[1])
+
+
 @query("dtree_eval")
 def dtree_eval(t: Tables) -> DataFrame:
-    """As deep as MLlib grows a tree, depth 1, and leaves of at least 8 rows."""
+    """A tree without limits, depth 1, and leaves of at least 8 rows."""
+    train, test = split(vectors(t))
     found = [
-        evaluated(t, lambda _, d=depth, n=leaf: models.decision_tree(d, n)).withColumn("tree", F.lit(name))
-        for name, depth, leaf in (("deep", models.MAX_DEPTH, 1), ("stump", 1, 1), ("leaf_8", models.MAX_DEPTH, 8))
+        scored_trees(trees.grow(train, "vector", "label", depth=depth, leaf=leaf), train, test).withColumn("tree", F.lit(name))
+        for name, depth, leaf in (("deep", None, 1), ("stump", 1, 1), ("leaf_8", None, 8))
     ]
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+def best_splits_sql(level: int) -> str:
+    """The best split of each node of ``r{level}(path, vec_id, label, v)`` that holds several labels, as ``s{level}``."""
+    logs = lambda c: f"CASE WHEN {c} > 0 THEN {c} * ln({c}) ELSE 0 END"
+    return f"""
+v{level} AS (SELECT path, label, unnest(generate_series(0, len(v) - 1)) AS feature, unnest(v) AS x FROM r{level}),
+k{level} AS (SELECT path, feature, x, label AS class, count(*) AS n FROM v{level} GROUP BY ALL),
+d{level} AS (SELECT path, feature, x, lead(x) OVER (PARTITION BY path, feature ORDER BY x) AS next FROM (SELECT DISTINCT path, feature, x FROM k{level})),
+c{level} AS (SELECT d.path, d.feature, d.x, next, sum(coalesce(n, 0)) OVER (PARTITION BY d.path, d.feature, c.class ORDER BY d.x) AS l, sum(coalesce(n, 0)) OVER (PARTITION BY d.path, d.feature, c.class) AS t
+  FROM d{level} d CROSS JOIN classes c LEFT JOIN k{level} k ON k.path = d.path AND k.feature = d.feature AND k.x = d.x AND k.class = c.class),
+e{level} AS (SELECT path, feature, x, any_value(next) AS next, sum(l)::DOUBLE AS nl, sum(t)::DOUBLE AS n, sum({logs("l")}) AS sl, sum({logs("(t - l)")}) AS sr, sum({logs("t")}) AS st FROM c{level} GROUP BY path, feature, x),
+b{level} AS (SELECT path, feature, (x + next) / 2 AS threshold, n,
+    round((n * ln(n) - st - (nl * ln(nl) - sl) - ((n - nl) * ln(n - nl) - sr)) / ln(2) / n, 9) AS gain FROM e{level} WHERE next IS NOT NULL),
+s{level} AS (SELECT * FROM b{level} WHERE path IN (SELECT path FROM r{level} GROUP BY path HAVING count(DISTINCT label) > 1)
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, feature, threshold) = 1)"""
+
+
+@query(
+    "dtree_splits",
+    f"""WITH classes AS (SELECT DISTINCT label::BIGINT AS class FROM embeddings),
+r0 AS (SELECT '' AS path, vec_id, label::BIGINT AS label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE NOT ({HELD_SQL})),{best_splits_sql(0)},
+r1 AS (SELECT CASE WHEN v[feature + 1] <= threshold THEN 'L' ELSE 'R' END AS path, vec_id, label, v FROM r0 JOIN s0 USING (path)),{best_splits_sql(1)}
+SELECT path, feature::INTEGER AS feature, round(threshold, 6) AS threshold, n::BIGINT AS rows FROM (SELECT * FROM s0 UNION ALL SELECT * FROM s1)""",
+)
+def dtree_splits(t: Tables) -> DataFrame:
+    """The splits of a tree of depth 2 by entropy."""
+    train, _ = split(vectors(t))
+    found = trees.grow(train, "vector", "label", depth=2).nodes
+    rows = [(path, n.feature, round(n.threshold, 6), int(sum(n.counts))) for (_, path), n in found.items() if n.feature is not None]
+    return t.spark.createDataFrame(rows, "path string, feature int, threshold double, rows bigint")
+
+
+def forest(rows: DataFrame, size: int) -> trees.Forest:
+    """Trees of resampled rows by Gini impurity, with one feature drawn for each split."""
+    return trees.grow(rows, "vector", "label", key="vec_id", trees=size, impurity="gini", per_split=1)
+
+
 @query("rforest_eval")
 def rforest_eval(t: Tables) -> DataFrame:
-    return evaluated(t, lambda _: models.random_forest(21))
+    train, test = split(vectors(t))
+    return scored_trees(forest(train, 21), train, test)
 
 
 @query("rforest_importances")
 def rforest_importances(t: Tables) -> DataFrame:
-    train, _ = featured(t)
-    found = models.random_forest(20).fit(train).featureImportances.toArray()
-    return t.spark.createDataFrame([(i, float(v)) for i, v in enumerate(found)], "feature int, importance double")
+    train, _ = split(vectors(t))
+    return t.spark.createDataFrame(list(enumerate(forest(train, 20).importances())), "feature int, importance double")
 
 
 @query("mlp_eval")
@@ -274,8 +318,13 @@ def mlp_eval(t: Tables) -> DataFrame:
 @query("kfold_scores")
 def kfold_scores(t: Tables) -> DataFrame:
     """Ten contiguous folds of a forest, with the mean and population deviation of their accuracies."""
-    rows = models.from_array(vectors(t), "vector").select("vec_id", F.col("label").cast("double").alias("label"), "features")
-    folds = cut(models.fold_scores(rows, ["vec_id"], 10, models.random_forest(20)))
+    parts = cut(contiguous_folds(vectors(t), ["vec_id"], 10))
+    found = []
+    for fold in range(1, 11):
+        asked = forest(parts.filter(F.col("fold") != fold), 20).transform(parts.filter(F.col("fold") == fold), "vector")
+        hits = (F.col("prediction") == F.col("label")).cast("double")
+        found.append(asked.agg(F.count("*").alias("rows"), F.avg(hits).alias("accuracy"), F.lit(fold).alias("fold")))
+    folds = cut(reduce(DataFrame.unionByName, found))
     summary = folds.agg(F.avg("accuracy").alias("mean"), F.stddev_pop("accuracy").alias("deviation")).withColumn("_one", F.lit(1))
     return folds.withColumn("_one", F.lit(1)).join(summary, "_one").drop("_one")
 

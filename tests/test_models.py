@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.analysis import linkage, newton, prep, resample, tall
+from millrace.analysis import linkage, newton, prep, resample, tall, trees
 
 
 def brute_linkage(points):
@@ -146,3 +146,76 @@ def test_poisson_draws_have_the_moments_of_poisson(spark):
     assert len(steps) > 12 and all(a < b < 1 for a, b in zip(steps, steps[1:])) and 1 - steps[-1] < 1e-13
     row = spark.range(20000).select(F.explode(resample.draws("id", 5)).alias("w")).agg(F.avg("w"), F.var_pop("w")).first()
     assert row[0] == pytest.approx(1, abs=0.02) and row[1] == pytest.approx(1, abs=0.03)
+
+
+def brute_tree(x, y, impurity, depth, leaf, path=""):
+    """Splits by path, every threshold of every feature tried."""
+
+    def weight(rows):
+        shares = [sum(y[i] == c for i in rows) / len(rows) for c in set(y[i] for i in rows)]
+        return len(rows) * (1 - sum(p * p for p in shares) if impurity == "gini" else -sum(p * math.log2(p) for p in shares))
+
+    def down(rows, path):
+        if len({y[i] for i in rows}) < 2 or (depth is not None and len(path) >= depth):
+            return
+        best = None
+        for f in range(len(x[0])):
+            values = sorted({x[i][f] for i in rows})
+            for a, b in zip(values, values[1:]):
+                left, right = [i for i in rows if x[i][f] <= a], [i for i in rows if x[i][f] > a]
+                if min(len(left), len(right)) >= leaf:
+                    gain = round((weight(rows) - weight(left) - weight(right)) / len(rows), 9)
+                    if best is None or gain > best[0]:
+                        best = (gain, f, (a + b) / 2, left, right)
+        if best:
+            found[path] = best[1:3]
+            down(best[3], path + "L")
+            down(best[4], path + "R")
+
+    found = {}
+    down(list(range(len(y))), path)
+    return found
+
+
+@pytest.mark.parametrize("impurity,depth,leaf", [("entropy", None, 1), ("gini", 3, 1), ("entropy", None, 6)])
+@pytest.mark.parametrize("cells", [10**6, 30])
+def test_trees_try_every_threshold(spark, impurity, depth, leaf, cells):
+    pick = random.Random(leaf)
+    # few different values, so that ties and equal rows of different labels occur
+    x = [[float(pick.randrange(6)), pick.choice([0.0, 0.5, 1e9]), round(pick.random(), 1)] for _ in range(60)]
+    y = [int(r[0] > 3) + int(r[2] > 0.5 and pick.random() < 0.9) for r in x]
+    df = spark.createDataFrame([(i, v, c) for i, (v, c) in enumerate(zip(x, y))] + [(99, None, 1), (98, [1.0, 1.0, 1.0], None)], "id bigint, x array<double>, y int")
+    found = trees.grow(df.repartition(4), "x", "y", depth=depth, leaf=leaf, impurity=impurity, cells_per_task=cells)
+    wanted = brute_tree(x, y, impurity, depth, leaf)
+    assert {p: (n.feature, n.threshold) for (_, p), n in found.nodes.items() if n.feature is not None} == wanted
+    rows = found.transform(df.filter("y IS NOT NULL"), "x").collect()
+    assert [r["prediction"] for r in rows if r["x"] is None] == [None]
+    by_x: dict[tuple, list[int]] = {}
+    for v, c in zip(x, y):
+        by_x.setdefault(tuple(v), []).append(c)
+    if depth is None and leaf == 1:
+        hits = sum(r["prediction"] == r["y"] for r in rows if r["x"] is not None)
+        assert hits == sum(max(c.count(k) for k in c) for c in by_x.values())
+
+
+def test_forests_are_the_same_in_tasks_and_by_levels(spark):
+    pick = random.Random(3)
+    rows = [(i, [pick.random() for _ in range(4)], int(pick.random() < 0.5)) for i in range(80)]
+    rows = [(i, [v[0] + y, *v[1:]], y) for i, v, y in rows]
+    df = spark.createDataFrame(rows, "id bigint, x array<double>, y int")
+    own = lambda cells: trees.grow(df, "x", "y", key="id", trees=4, impurity="gini", per_split=1, seed="a", cells_per_task=cells)
+    inside, by_levels = own(10**6), own(80)
+    assert inside.nodes == by_levels.nodes and len(inside.trees) == 4
+    shares = inside.importances()
+    assert sum(shares) == pytest.approx(1.0) and shares[0] == max(shares)
+    hits = inside.transform(df, "x").filter("prediction = y").count()
+    assert hits > 68
+
+
+def test_trees_of_one_label_and_of_no_rows(spark):
+    df = spark.createDataFrame([(1, [1.0], 7), (2, [2.0], 7)], "id bigint, x array<double>, y int")
+    found = trees.grow(df, "x", "y")
+    assert [n.feature for n in found.nodes.values()] == [None] and {r["prediction"] for r in found.transform(df, "x").collect()} == {7.0}
+    assert found.importances() == [0.0]
+    with pytest.raises(ValueError):
+        trees.grow(df.filter("id > 5"), "x", "y")
