@@ -1,8 +1,8 @@
 """Licence statements by sparse TF-IDF cosine to templates; files without one inherit along their path.
 
-Statements are sentences, and files as a whole, that hold a licence word. Their terms are
-counted, weighted by how few statements use a term, and multiplied with the templates' terms
-in one join with that fixed small table. A licence file covers its directory and everything
+Statements are lines, sentences, paragraphs, and files as a whole, that hold a licence word. Their
+terms are counted, weighted by how few of all statements use a term, and multiplied with the
+templates' terms in one join with that fixed small table. A licence file covers its directory and everything
 below; the nearest one above a file wins.
 """
 
@@ -13,21 +13,41 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 # Short notices by licence.
 TEMPLATES = {
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License, CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright. CC0 1.0 Universal, public domain.",
+    "EPL-2.0": "This program is made available under the terms of the Eclipse Public License, version 2.0.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "ISC": "Released under the ISC License.",
     "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "Subject to the terms of the Mozilla Public License, version 2.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+# Paragraphs that open a licence's text or stand at the head of a file.
+PARAGRAPHS = [
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+]
 #: A statement has one of these; every template does.
-MARK = r"(?i)licen[cs]e|copyright|redistribution|public domain|all rights reserved"
+MARK = r"(?i)licen[cs]e|copyright|redistribut|public domain|all rights reserved|permission (is hereby|to use)|free to copy|unencumbered"
+#: Terms that make up at least this share of all counted terms are sent to every task; there are at most 1 / share of them.
+FREQUENT = 1e-4
 LICENCE_FILE = r"(?i)(^|/)(un)?(licen[cs]e|copying|notice)[^/]*$"
 
 
@@ -37,13 +57,15 @@ def terms(text: Column) -> Column:
 
 
 def statements(files: DataFrame, path: str, text: str) -> DataFrame:
-    """``row, path, whole, term, tf`` of every sentence, and every file as a whole, that has a licence word."""
+    """``path, row, unit, term, tf`` of every line or sentence, paragraph, and file as a whole (unit 0) that has a licence word."""
     marked = files.filter(F.col(text).rlike(MARK)).select(
         F.col(path).alias("path"), F.col(text).alias("text"), F.xxhash64(path, text).alias("row")
     ).distinct()
     units = marked.select(
         "path", "row",
-        F.posexplode(F.concat(F.array("text"), F.split("text", r"\n|(?<=[.!?])[ \t\r]+"))).alias("unit", "words"),
+        F.posexplode(F.array_distinct(F.concat(
+            F.array("text"), F.split("text", r"\n[ \t\r]*\n"), F.split("text", r"\n|(?<=[.!?])[ \t\r]+"),
+        ))).alias("unit", "words"),
     ).filter(F.col("words").rlike(MARK))
     return (
         units.select("path", "row", "unit", F.explode(terms(F.col("words"))).alias("term"))
@@ -53,40 +75,45 @@ def statements(files: DataFrame, path: str, text: str) -> DataFrame:
 
 
 def template_terms(spark: SparkSession, templates: Mapping[str, str]) -> DataFrame:
-    rows = spark.createDataFrame(sorted(templates.items()), "licence string, words string")
-    return rows.select("licence", F.explode(terms(F.col("words"))).alias("term")).groupBy("licence", "term").agg(F.count("*").alias("tt"))
+    """``licence, number, term, tt`` of the notices and, for licences among them, of the paragraphs."""
+    listed = [*sorted(templates.items()), *[p for p in PARAGRAPHS if p[0] in templates]]
+    rows = spark.createDataFrame([(name, i, words) for i, (name, words) in enumerate(listed)], "licence string, number int, words string")
+    return rows.select("licence", "number", F.explode(terms(F.col("words"))).alias("term")).groupBy("licence", "number", "term").agg(F.count("*").alias("tt"))
 
 
 def similarities(counted: DataFrame, templates: Mapping[str, str]) -> DataFrame:
     """The best licence of each statement and its cosine; ties go to the smaller name.
 
-    A term weighs 1 + ln((1 + n) / (1 + df)) times its count, over all n statements. The df of
-    template terms are at most as many as the templates have words and become constants; terms
-    outside the templates count as met once.
+    A term weighs 1 + ln((1 + n) / (1 + df)) times its count, over all n statements; a template's
+    term that no statement has counts as met once. Weights of the templates' terms and of frequent
+    terms go to every task, those of the others, with few rows each, are joined by term.
     """
     spark = counted.sparkSession
     wanted = template_terms(spark, templates)
-    n = counted.select("row", "unit").distinct().count()
-    common = (
-        counted.join(F.broadcast(wanted.select("term").distinct()), "term")
-        .groupBy("term").agg(F.count("*").alias("df"))
-    )
+    n = counted.select("path", "row", "unit").distinct().count()
+    cells = counted.count()
+    met = cut(counted.groupBy("term").agg(F.count("*").alias("df")))
     idf = lambda df: 1 + F.log((1 + F.lit(float(n))) / (1 + df))
-    weights = wanted.join(common, "term", "left").select("licence", "term", "tt", idf(F.coalesce("df", F.lit(1))).alias("idf"))
+    named = met.join(F.broadcast(wanted.select("term").distinct()), "term")
+    weights = wanted.join(named, "term", "left").select("licence", "number", "term", "tt", idf(F.coalesce("df", F.lit(1))).alias("idf"))
     sides = weights.withColumn("tw", F.col("tt") * F.col("idf"))
-    norms = sides.groupBy("licence").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tnorm"))
-    sides = sides.join(norms, "licence")
-    per_term = sides.groupBy("term").agg(
-        F.first("idf").alias("idf"), F.collect_list(F.struct("licence", (F.col("tw") / F.col("tnorm")).alias("share"))).alias("to")
+    norms = sides.groupBy("number").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tnorm"))
+    per_term = sides.join(norms, "number").groupBy("term").agg(
+        F.collect_list(F.struct("licence", "number", (F.col("tw") / F.col("tnorm")).alias("share"))).alias("to")
     )
-    # at most one row for each word of the templates
-    weighed = counted.join(F.broadcast(per_term), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", idf(F.lit(1))))
+    frequent = F.col("df") >= max(1.0, FREQUENT * cells)
+    # at most 1 / FREQUENT rows, and one for each word of the templates
+    everywhere = met.join(F.broadcast(per_term), "term", "left").filter(frequent | F.col("to").isNotNull()).select("term", "df", "to")
+    known = counted.join(F.broadcast(everywhere), "term", "left")
+    others = known.filter(F.col("df").isNull()).select(*counted.columns).join(met.filter(~frequent), "term")
     unit = ["path", "row", "unit"]
-    length = weighed.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    squares = known.filter(F.col("df").isNotNull()).select(*unit, "tf", "df").unionByName(others.select(*unit, "tf", "df"))
+    w = F.col("tf") * idf(F.col("df"))
+    length = squares.groupBy(*unit).agg(F.sqrt(F.sum(w * w)).alias("norm"))
     dots = (
-        weighed.filter(F.col("to").isNotNull())
-        .select(*unit, "w", F.explode("to").alias("to"))
-        .groupBy(*unit, "to.licence").agg(F.sum(F.col("w") * F.col("to.share")).alias("dot"))
+        known.filter(F.col("to").isNotNull())
+        .select(*unit, w.alias("w"), F.explode("to").alias("to"))
+        .groupBy(*unit, "to.licence", "to.number").agg(F.sum(F.col("w") * F.col("to.share")).alias("dot"))
     )
     scored = dots.join(length, unit).select(*unit, "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine"))
     return scored.groupBy(*unit).agg(
@@ -113,7 +140,7 @@ def scan(
     count as one file. Null and empty texts have no statement of their own but inherit.
     """
     named = files.filter(F.col(path).isNotNull())
-    close = similarities(statements(named, path, text), templates).filter(F.col("cosine") >= least)
+    close = similarities(cut(statements(named, path, text)), templates).filter(F.col("cosine") >= least)
     own = close.groupBy("path").agg(
         F.max("cosine").alias("cosine"),
         F.min_by("licence", F.struct(-F.col("cosine"), F.col("licence"))).alias("own"),

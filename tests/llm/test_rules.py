@@ -1,8 +1,10 @@
 """URL rules, quality rules, secret and licence scans against brute force."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import duckdb
 import pytest
@@ -172,3 +174,34 @@ def test_licences(spark):
 def test_every_template_names_itself(spark, name):
     frame = spark.createDataFrame([("a/f", f"Some code. {license_scan.TEMPLATES[name]} Bye")], "path string, text string")
     assert license_scan.scan(frame).filter(F.col("own") == name).count() == 1
+
+
+def test_licence_cosines_equal_brute_force_however_often_a_statement_occurs(spark):
+    body = dict(license_scan.PARAGRAPHS)["MIT"].split()
+    wrapped = "Copyright 2020 Somebody\n\n" + "\n".join(" ".join(body[i : i + 11]) for i in range(0, len(body), 11)) + "\n\nThe above notice shall be included."
+    files = [("a/LICENSE", wrapped), ("a/b/c.py", "x = 1"), ("g/x.c", dict(license_scan.PARAGRAPHS)["GPL-2.0"] + "\n\nint main;")]
+    files += [(f"p/{i}", "This project is released under the MIT License.") for i in range(400)]
+    frame = spark.createDataFrame(files, "path string, text string")
+    found = {r["path"]: r for r in license_scan.scan(frame).collect()}
+    assert found["a/LICENSE"]["own"] == "MIT" and found["a/LICENSE"]["cosine"] > 0.99 and found["a/b/c.py"]["inherited"] == "MIT"
+    assert found["g/x.c"]["own"] == "GPL-2.0"
+    assert all(found[f"p/{i}"]["own"] == "MIT" and found[f"p/{i}"]["cosine"] > 0.7 for i in range(400))
+    # cosines of all statements by hand
+    counted = license_scan.statements(frame, "path", "text").collect()
+    units: dict[tuple, dict[str, int]] = {}
+    for r in counted:
+        units.setdefault((r["path"], r["unit"]), {})[r["term"]] = r["tf"]
+    df = Counter(t for u in units.values() for t in u)
+    idf = lambda t: 1 + math.log((1 + len(units)) / (1 + df.get(t, 1)))
+    token = re.compile(r"[a-z0-9](?:[a-z0-9.-]*[a-z0-9])?")
+    templates = [(n, Counter(token.findall(w.lower()))) for n, w in [*license_scan.TEMPLATES.items(), *license_scan.PARAGRAPHS]]
+
+    def cosine(a, b):
+        norm = lambda u: math.sqrt(sum((k * idf(t)) ** 2 for t, k in u.items()))
+        return sum(k * b[t] * idf(t) ** 2 for t, k in a.items() if t in b) / norm(a) / norm(b)
+
+    rows = license_scan.similarities(spark.createDataFrame(counted), license_scan.TEMPLATES).collect()
+    assert len(rows) > 400
+    for r in rows:
+        best = max(cosine(units[r["path"], r["unit"]], b) for _, b in templates)
+        assert r["cosine"] == pytest.approx(best, abs=2e-6)
