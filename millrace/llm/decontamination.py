@@ -17,11 +17,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from ..session import shared_folder
+from ..session import cut, shared_folder
 from .schemas import extended
 from .words import words
 
@@ -29,21 +29,19 @@ WINDOW = 10
 WORDS_PER_SHARD = 1_000_000
 #: Empty places between documents; no phrase and no proximity match reaches over them.
 GAP = 16
+FOUND = "hits array<struct<start:int,stop:int>>, items array<string>, near_items array<string>"
 CANDIDATES_PER_STEP = 1_000_000
-#: The terms and windows of a search are sent to all tasks; more words than these are refused.
-MAX_BENCHMARK_WORDS = 20_000_000
+#: Bytes of item texts whose terms and windows are sent to all tasks at once; more are searched in blocks.
+BLOCK_BYTES = 64 << 20
+
 
 class Windows:
     """All different windows of the benchmark and the items that hold them."""
 
     def __init__(self, items: Sequence[tuple[object, str | None]], window: int):
         owners: dict[tuple[bytes, ...], set[str]] = {}
-        total = 0
         for item, text in items:
             own = words(text)
-            total += len(own)
-            if total > MAX_BENCHMARK_WORDS:
-                raise ValueError(f"the benchmark has more than {MAX_BENCHMARK_WORDS} words; search its items in blocks")
             for i in range(max(1, len(own) - window + 1) if own else 0):
                 owners.setdefault(tuple(own[i : i + window]), set()).add(str(item))
         self.terms = {t: i for i, t in enumerate(sorted({t for w in owners for t in w}))}
@@ -51,13 +49,17 @@ class Windows:
         self.items = [sorted(o) for o in owners.values()]
 
 
-def collected(benchmark: DataFrame, window: int, item: str, text: str) -> Windows:
-    """Windows of the items; items without an id or text have none."""
+def blocks(benchmark: DataFrame, item: str, text: str) -> list[DataFrame]:
+    """The items, dealt by their hash to blocks of about ``BLOCK_BYTES``; items without an id or text are left out."""
     rows = benchmark.filter(F.col(item).isNotNull() & F.col(text).isNotNull()).select(F.col(item), F.col(text))
     size = rows.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    if size > 16 * MAX_BENCHMARK_WORDS:
-        raise ValueError("the benchmark is too large for one search; search its items in blocks")
-    return Windows([tuple(r) for r in rows.collect()], window)
+    n = max(1, -(-size // BLOCK_BYTES))
+    return [rows.filter(F.pmod(F.xxhash64(item, text), F.lit(n)) == i) for i in range(n)] if n > 1 else [rows]
+
+
+def collected(block: DataFrame, window: int) -> Windows:
+    """Windows of the items of one block, whose size :func:`blocks` bounds."""
+    return Windows([tuple(r) for r in block.collect()], window)
 
 
 def index(documents: DataFrame, terms: dict[bytes, int], keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -68,7 +70,7 @@ def index(documents: DataFrame, terms: dict[bytes, int], keep: Sequence[str] = (
     """
     spark = documents.sparkSession
     chosen = documents.select(*keep, F.col(text).alias("_text"))
-    shared = spark.sparkContext.broadcast(terms)  # bounded by MAX_BENCHMARK_WORDS
+    shared = spark.sparkContext.broadcast(terms)  # bounded by BLOCK_BYTES
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, at = shared.value, TaskContext.get().partitionId() << 32
@@ -113,13 +115,14 @@ def index(documents: DataFrame, terms: dict[bytes, int], keep: Sequence[str] = (
     return spark.read.schema(schema).parquet(folder)
 
 
-def search(postings: DataFrame, benchmark: Windows, near: int = 2) -> DataFrame:
+def search(postings: DataFrame, benchmark: Windows, near: int = 2, placed: bool = False) -> DataFrame:
     """Every indexed document's columns with ``hits``, ``items`` and ``near_items``.
 
     ``hits`` are the stretches of words (start, stop; stop exclusive) covered by occurring
     windows, ``items`` the ids, as sorted text, of items with such windows. ``near_items`` are
     the items with a window whose words all stand within ``near`` words of their places around
-    its rarest word, without being among ``items``.
+    its rarest word, without being among ``items``. ``placed`` adds ``_shard`` and ``_row``, by
+    which a document is known again in another index of the same stored documents.
     """
     if not 0 <= near <= GAP:
         raise ValueError(f"near must lie between 0 and {GAP}")
@@ -137,7 +140,7 @@ def search(postings: DataFrame, benchmark: Windows, near: int = 2) -> DataFrame:
         by_rarity = sorted(range(len(own)), key=lambda i: (counts[own[i]], i))
         offsets[row, : len(own)], terms[row, : len(own)] = by_rarity, [own[i] for i in by_rarity]
     owners = [benchmark.items[n] for n in possible]
-    shared = spark.sparkContext.broadcast((sizes, offsets, terms, owners))  # bounded by MAX_BENCHMARK_WORDS
+    shared = spark.sparkContext.broadcast((sizes, offsets, terms, owners))  # bounded by BLOCK_BYTES
     docs = postings.schema["docs"].dataType.elementType
     names = docs.names
 
@@ -194,6 +197,8 @@ def search(postings: DataFrame, benchmark: Windows, near: int = 2) -> DataFrame:
         table["hits"] = hits
         table["items"] = [sorted(e) for e in exact]
         table["near_items"] = [sorted(c - e) for c, e in zip(close, exact)]
+        if placed:
+            table["_shard"], table["_row"] = head["shard"], range(len(table))
         return table
 
     def held(window: np.ndarray, start: np.ndarray, starts: np.ndarray, n: int) -> list[set[str]]:
@@ -205,10 +210,40 @@ def search(postings: DataFrame, benchmark: Windows, near: int = 2) -> DataFrame:
             found[d].update(owners[w])
         return found
 
-    found = "hits array<struct<start:int,stop:int>>, items array<string>, near_items array<string>"
+    found = FOUND + (", _shard bigint, _row bigint" if placed else "")
     return postings.groupBy("shard").applyInPandas(answer, extended(docs.fields, found))
 
 
+def united(parts: Sequence[DataFrame]) -> DataFrame:
+    """Answers of several blocks of items about the same stored documents as one."""
+    place = ["_shard", "_row"]
+    some = [p.select(*place, "hits", "items", "near_items").filter("size(hits) + size(near_items) > 0") for p in parts]
+    all_parts = some[0]
+    for p in some[1:]:
+        all_parts = all_parts.unionByName(p)
+    lists = all_parts.groupBy(*place).agg(*[F.flatten(F.collect_list(c)).alias(f"_{c}") for c in ("hits", "items", "near_items")])
+    # stretches that overlap or touch become one: a stretch opens where nothing before reaches it
+    pieces = lists.select(*place, F.explode("_hits").alias("h")).select(*place, "h.start", "h.stop")
+    before = Window.partitionBy(*place).orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    opened = pieces.withColumn("_opens", F.coalesce(F.max("stop").over(before) < F.col("start"), F.lit(True)).cast("int"))
+    numbered = opened.withColumn("_n", F.sum("_opens").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = numbered.groupBy(*place, "_n").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    hits = whole.groupBy(*place).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("_merged"))
+    items = F.array_sort(F.array_distinct("_items"))
+    merged = lists.join(hits, place, "left").select(
+        *place, "_merged", items.alias("_exact"), F.array_sort(F.array_distinct(F.array_except("_near_items", "_items"))).alias("_close")
+    )
+    none = lambda c, kind: F.coalesce(c, F.array().cast(kind))
+    return (
+        parts[0].drop("hits", "items", "near_items").join(merged, place, "left")
+        .withColumns({
+            "hits": none(F.col("_merged"), "array<struct<start:int,stop:int>>"),
+            "items": none(F.col("_exact"), "array<string>"), "near_items": none(F.col("_close"), "array<string>"),
+        })
+        .drop(*place, "_merged", "_exact", "_close")
+    )
+
+
 def scan(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -220,8 +255,18 @@ def scan(
 ) -> DataFrame:
     """Index all documents for the benchmark's terms and search every window of every item.
 
+    A benchmark of many bytes is searched in blocks of items, and what the blocks find is united.
     Items of fewer words than ``window`` are one window; items without words have none. Repeated
     documents are searched as often as they occur; without items or documents nothing is found.
     """
-    wanted = collected(benchmark, window, item, text)
-    return search(index(documents, wanted.terms, keep, text), wanted, near)
+    parts = blocks(benchmark, item, text)
+    if len(parts) == 1:
+        wanted = collected(parts[0], window)
+        return search(index(documents, wanted.terms, keep, text), wanted, near)
+    # stored once, so that every block meets the same shards
+    stored = cut(documents.select(*keep, F.col(text)))
+    answers = []
+    for part in parts:
+        wanted = collected(part, window)
+        answers.append(cut(search(index(stored, wanted.terms, keep, text), wanted, near, placed=True)))
+    return united(answers)

@@ -56,6 +56,13 @@ def test_decontamination(spark, monkeypatch):
         assert hits == sorted(hits) and not set(r["items"]) & set(r["near_items"])
     last = [r for r in found if r["doc_id"] == len(texts) - 1][0]
     assert last["near_items"] == ["2"] or "2" in last["near_items"]
+    # the same in blocks of items
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 200)
+    assert len(decontamination.blocks(benchmark, "item_id", "text")) > 3
+    in_blocks = decontamination.scan(frame, benchmark, keep=("doc_id", "spans"))
+    assert in_blocks.columns == decontamination.scan(frame, benchmark.limit(1), keep=("doc_id", "spans")).columns
+    by_id = lambda rows: sorted((r.asDict(recursive=True) for r in rows), key=lambda r: r["doc_id"])
+    assert by_id(in_blocks.collect()) == by_id(found)
     for documents, against in ((frame.limit(0), benchmark), (frame, benchmark.limit(0))):
         assert all(not r["hits"] and not r["items"] for r in decontamination.scan(documents, against).collect())
 
