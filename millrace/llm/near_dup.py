@@ -8,8 +8,12 @@ form a bucket. Inside a bucket the shared runs of all pairs are counted in one m
 and pairs with enough of them are aligned word by word in a band. Only links that join two parts
 of a bucket are returned. A class is what links connect.
 
-Exact copies meet by the digest of their text before all this. Large buckets are cut into chunks;
-a block of leaders goes to each, and further blocks follow as long as parts stay apart.
+Exact copies meet by the digest of their text before all this. At first all members of a bucket are
+held against one of them, its hub. A group of near copies fills many buckets, most of them with the
+same hub, so that a text meets it once instead of once for each bucket; only buckets that are still in several
+parts are then worked off. There each member outside the largest part is held against all others. Large
+buckets are cut into chunks; a block of leaders goes to each, and further blocks follow as long as
+parts stay apart.
 """
 
 from __future__ import annotations
@@ -207,23 +211,30 @@ def sketches(documents: DataFrame, keep: str, text: str, elements: int, per_elem
 
 def find_links(documents: DataFrame, different: DataFrame, keep: str, text: str, similarity: float) -> DataFrame:
     """Verified links ``a, b`` between keys of different texts."""
+    number = F.conv(F.substring("key", 1, 15), 16, 10).cast("bigint")  # of a key; a hub is the member with the smallest
     spread = different.filter("n_words > 0").select("key", "doc_id", "n_words", F.explode("sketch").alias("bucket"))
     buckets = (
         spread.groupBy("bucket")
         .agg(
             F.count("*").alias("n"), F.sum("n_words").alias("total"), F.max("n_words").alias("longest"),
             F.bit_xor(F.xxhash64("key")).alias("mark"), F.sum(F.xxhash64("key", F.lit(1)).cast("decimal(38,0)")).alias("mark2"),
+            F.min(number).alias("hub"),
         )
         .filter("n > 1")
-        .groupBy("n", "total", "longest", "mark", "mark2").agg(F.min("bucket").alias("bucket"))  # equal buckets once
+        .groupBy("n", "total", "longest", "mark", "mark2", "hub").agg(F.min("bucket").alias("bucket"))  # equal buckets once
         .withColumn("leaders", F.greatest(F.lit(1), F.least(F.lit(LEADERS), F.floor(F.lit(WORDS_PER_CHUNK) / F.col("longest")))))
         .withColumn("chunks", F.when(F.col("n") <= F.col("leaders"), 1).otherwise(F.ceil(F.col("total") / WORDS_PER_CHUNK)))
     )
     members = cut(
-        spread.join(buckets.select("bucket", "n", "leaders", "chunks"), "bucket")
+        spread.join(buckets.select("bucket", "n", "leaders", "chunks", "hub"), "bucket")
         .withColumn("home", F.pmod(F.xxhash64("key", "bucket"), F.col("chunks")))
     )
-    texts = documents.select(F.col(keep).cast("bigint").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")).withColumn("key", F.md5("text"))
+    wanted = members.select("key", F.col("doc_id").alias("_id")).distinct()
+    every = documents.select(F.col(keep).cast("bigint").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")).withColumn("key", F.md5("text"))
+    folder = f"{shared_folder(documents.sparkSession)}/members-{uuid.uuid4().hex}"
+    # the corpus is shuffled once; all rounds read the members' texts only
+    every.join(wanted, (every["key"] == wanted["key"]) & every["doc_id"].eqNullSafe(wanted["_id"])).select(every["key"], "text").write.parquet(folder)
+    texts = documents.sparkSession.read.schema("key string, text string").parquet(folder)
 
     hashes = Hashes()  # each task gets one of its own
 
@@ -235,26 +246,34 @@ def find_links(documents: DataFrame, different: DataFrame, keep: str, text: str,
         return pd.DataFrame(found, columns=["a", "b"])
 
     def compared(placed: DataFrame) -> DataFrame:
-        """``placed`` has bucket, chunk, key, doc_id, leader and part."""
-        with_text = placed.join(texts, (placed["key"] == texts["key"]) & placed["doc_id"].eqNullSafe(texts["doc_id"])).select(
-            "bucket", "chunk", placed["key"], "leader", "part", "text"
-        )
+        """``placed`` has bucket, chunk, key, leader and part."""
+        with_text = placed.join(texts, "key").select("bucket", "chunk", "key", "leader", "part", "text")
         return with_text.groupBy("bucket", "chunk").applyInPandas(work, "a string, b string").distinct()
 
-    small = members.filter("n <= leaders").select(
-        "bucket", F.lit(0).cast("bigint").alias("chunk"), "key", "doc_id", F.lit(True).alias("leader"), F.col("key").alias("part")
+    def parted(rows: DataFrame, links: DataFrame) -> DataFrame:
+        """``rows`` of the buckets that links leave in several parts, with ``part`` and the bucket's largest one as ``main``."""
+        known = components(links).withColumnRenamed("id", "key")
+        placed = rows.join(known, "key", "left").withColumn("part", F.coalesce("root", "key")).drop("root")
+        sizes = placed.groupBy("bucket", "part").agg(F.count("*").alias("size"))
+        largest = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("size", "part")).alias("main"))
+        return placed.join(largest.filter("parts > 1").drop("parts"), "bucket")
+
+    rays = members.groupBy("hub", "key").agg(F.max("n_words").alias("n_words"))
+    crowded = rays.groupBy("hub").agg(F.ceil(F.sum("n_words") / WORDS_PER_CHUNK).alias("split")).filter("split > 1")
+    rays = rays.join(crowded, "hub", "left").withColumn("split", F.coalesce("split", F.lit(1))).withColumn("leader", number == F.col("hub"))
+    at = F.when(F.col("leader"), F.sequence(F.lit(0).cast("bigint"), F.col("split") - 1)).otherwise(F.array(F.pmod(F.xxhash64("key"), "split")))
+    star = rays.select(F.col("hub").alias("bucket"), F.explode(at).alias("chunk"), "key", "leader", F.col("key").alias("part"))
+    links = cut(compared(star))
+
+    left = cut(parted(members, links))
+    small = left.filter("n <= leaders").select(
+        "bucket", F.lit(0).cast("bigint").alias("chunk"), "key", (F.col("part") != F.col("main")).alias("leader"), "part"
     )
-    links = cut(compared(small))
-    large = members.filter("n > leaders").withColumn("part", F.col("key"))
+    links = cut(links.unionByName(compared(small)).distinct())
+    large = left.filter("n > leaders").drop("part", "main")
     from_rank = 0
     while not large.isEmpty():
-        known = components(links)
-        parted = large.drop("part").join(known.withColumnRenamed("id", "key"), "key", "left").withColumn("part", F.coalesce("root", "key")).drop("root")
-        open_buckets = (
-            parted.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y"))
-            .filter("x <> y").select("bucket")
-        )
-        large = cut(parted.join(open_buckets, "bucket").filter(F.col("n") > from_rank * F.col("leaders")))
+        large = cut(parted(large, links).drop("main").filter(F.col("n") > from_rank * F.col("leaders")))
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("key"))
         upto = (from_rank + 1) * LEADERS
         block = (
@@ -262,10 +281,11 @@ def find_links(documents: DataFrame, different: DataFrame, keep: str, text: str,
             .filter((F.col("rank") > from_rank * F.col("leaders")) & (F.col("rank") <= (from_rank + 1) * F.col("leaders")))
             .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks").cast("bigint") - 1)))
         )
-        placed = block.select("bucket", "chunk", "key", "doc_id", F.lit(True).alias("leader"), "part").unionByName(
-            large.select("bucket", F.col("home").cast("bigint").alias("chunk"), "key", "doc_id", F.lit(False).alias("leader"), "part")
+        placed = block.select("bucket", "chunk", "key", F.lit(True).alias("leader"), "part").unionByName(
+            large.select("bucket", F.col("home").cast("bigint").alias("chunk"), "key", F.lit(False).alias("leader"), "part")
         )
         links = cut(links.unionByName(compared(placed)).distinct())
+        large = large.drop("part")
         from_rank += 1
     return links
 
