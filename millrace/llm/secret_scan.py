@@ -39,11 +39,20 @@ ASSIGN = (
     r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
     r"|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 )
+# A private key reaches to its end mark; without one, as far as words of 16 or more base64 characters follow.
+# The repetitions are bounded for the matcher's stack: marks within a key's head, and lines of a key.
+PEM = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,64}-----END [A-Z ]*PRIVATE KEY-----"
+    r"|(?:[\x09-\x0D\x20]+[A-Za-z0-9+/=]{16,}){0,512})"
+)
 RULES = (
     Rule("assign", 1, ASSIGN, 2, 12),
     Rule("access", 1, r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", 1, r"[0-9a-f]{16,}"),
-    Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", 2, PEM),
+    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("prefixed", 1, r"gh[opsru]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}"),
+    Rule("login", 1, r"[a-z][a-z0-9+.-]{1,15}://[^\x00-\x20:/@]+:[^\x00-\x20:/@]+@"),
 )
 SPANS = "array<struct<start:int,stop:int>>"
 SCANS = f"array<struct<rule:string,spans:{SPANS}>>"

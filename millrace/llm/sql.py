@@ -6,7 +6,10 @@ _SPANS = {
     "assign": (r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\x20*[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 2, 12),
     "access": (r"AKIA[A-Z0-9]+", 0, 18),
     "hex": (r"[0-9a-f]{16,}", 0, 16),
-    "pem": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+    "pem": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,64}-----END [A-Z ]*PRIVATE KEY-----|(?:[\x09-\x0D\x20]+[A-Za-z0-9+/=]{16,})*)", 0, 0),
+    "jwt": (r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+    "prefixed": (r"gh[opsru]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}", 0, 0),
+    "login": (r"[a-z][a-z0-9+.-]{1,15}://[^\x00-\x20:/@]+:[^\x00-\x20:/@]+@", 0, 0),
 }
 
 

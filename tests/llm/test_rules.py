@@ -87,7 +87,10 @@ BASE = {
     "assign": (re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A), lambda m: len(m[2]) >= 12),
     "access": (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
     "hex": (re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 16),
-    "pem": (re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----"), lambda m: True),
+    "pem": (re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?!-----)[\s\S])*-----END [A-Z ]*PRIVATE KEY-----|(?:\s+[A-Za-z0-9+/=]{16,})*)", re.A), lambda m: True),
+    "jwt": (re.compile(r"eyJ[\w-]{8,}\.eyJ[\w-]{8,}\.[\w-]{8,}", re.A), lambda m: True),
+    "prefixed": (re.compile(r"gh[opsru]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[\w-]{35}", re.A), lambda m: True),
+    "login": (re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\x00-\x20:/@]+:[^\x00-\x20:/@]+@"), lambda m: True),
 }
 
 
@@ -102,6 +105,9 @@ SECRETS = [
     None, "", "password=abcdefabcdef", "token: secret: aaaaaaaaaaaaaaaa", "TOKEN = \"" + "a" * 40 + "\" x", "AKIA" + "B" * 14, "AKIA" + "B" * 13,
     "AKIAAKIA" + "Z9" * 8 + " deadbeefdeadbeef", "🤦🏼‍♂️ é api_key='x.y_z=/+-012345678901' 0123456789abcdef0", "apikey::aaaaaaaaaaaaa passwd=short",
     "secret=token=0123456789abcdef", "-----BEGIN RSA PRIVATE KEY-----\npassword=00000000000000000000", "x" * 30_000 + "secret=abcdefghijklm",
+    "a -----BEGIN EC PRIVATE KEY-----\nDEK-Info: AES-128-CBC,00\n\nQUJD\nRA==\n-----END EC PRIVATE KEY----- b -----BEGIN PRIVATE KEY----- is a mark",
+    "-----BEGIN PRIVATE KEY-----\n" + ("QUJD" * 16 + "\n") * 600 + "-----END PRIVATE KEY-----\nx", "-----BEGIN PRIVATE KEY-----\n" + "QUJD" * 16 + "\nQUJDQUJDQUJDQUJD end",
+    "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl. ghp_" + "a1" * 18 + " xoxb-1234567890-x sk_live_" + "Z" * 16 + " AIza" + "-_" * 18, "see db+x://me:pa55@host and http://host:80/a@b",
 ]
 
 
@@ -118,7 +124,7 @@ def test_secrets_and_ledger(spark):
     # nothing new: nothing read again; a new version of a rule and a new text: only these
     secret_scan.scan_versions(frame, ledger).count()
     assert ledger.rows().count() == scanned
-    newer = [*secret_scan.RULES[:2], secret_scan.Rule("hex", 2, r"[0-9a-f]{32,}"), secret_scan.RULES[3]]
+    newer = [*secret_scan.RULES[:2], secret_scan.Rule("hex", 2, r"[0-9a-f]{32,}"), *secret_scan.RULES[3:]]
     again = secret_scan.scan_versions(frame, ledger, newer).collect()
     assert ledger.rows().filter("size(scans) = 1 AND scans[0].rule = 'hex@2'").count() == scanned
     for r in again:
@@ -134,12 +140,20 @@ def test_masking_joins_overlaps(spark):
     assert found.select(secret_scan.masked("text", "spans").alias("t")).first()["t"] == "a [secret]\" b [secret]"
 
 
+def test_bodies_of_keys_are_masked(spark):
+    body = "MIIEow" + "Ab+/" * 20
+    texts = [f"x -----BEGIN RSA PRIVATE KEY-----\n{body}\n{body}==\n-----END RSA PRIVATE KEY-----\ny", f"-----BEGIN PRIVATE KEY-----\n{body}\nshort words stay"]
+    found = secret_scan.scan_versions(table(spark, *texts), secret_scan.Ledger.new(spark), keep=("doc_id", "text"))
+    clean = [r["t"] for r in found.orderBy("doc_id").select(secret_scan.masked("text", "spans").alias("t")).collect()]
+    assert clean == ["x [secret]\ny", "[secret]\nshort words stay"]
+
+
 def test_digest_columns_and_sql(spark, tmp_path):
     frame = table(spark, *SECRETS).select("doc_id", "text", "lang", "source", "n_chars")
     frame.write.parquet(f"{tmp_path}/documents.parquet")
     rows = {r["doc_id"]: r for r in queries.op2_secret_scan(spark, str(tmp_path)).collect()}
     for i, text in enumerate(SECRETS):
-        base = ",".join(f"{s[2]}:{s[0]}:{s[3]}" for s in spans(text) if s[2] != "pem")
+        base = ",".join(f"{s[2]}:{s[0]}:{s[3]}" for s in spans(text) if s[2] in ("assign", "access", "hex"))
         assert rows[i]["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
         assert [rows[i][f"n_{k}"] for k in ("assign", "access", "hex")] == [sum(s[2] == k for s in spans(text)) for k in ("assign", "access", "hex")]
     duck = duckdb.connect()
