@@ -8,8 +8,8 @@ form a bucket. Inside a bucket the shared runs of all pairs are counted in one m
 and pairs with enough of them are aligned word by word in a band. Only links that join two parts
 of a bucket are returned. A class is what links connect.
 
-Exact copies meet by the digest of their text before all this. At first all members of a bucket are
-held against one of them, its hub. A group of near copies fills many buckets, most of them with the
+Exact copies meet by the digest of their text before all this. At first all members of a larger bucket
+are held against one of them, its hub. A group of near copies fills many buckets, most of them with the
 same hub, so that a text meets it once instead of once for each bucket; only buckets that are still in several
 parts are then worked off. There each member outside the largest part is held against all others. Large
 buckets are cut into chunks; a block of leaders goes to each, and further blocks follow as long as
@@ -36,6 +36,8 @@ RUN, SIMILARITY = 5, 0.8
 ELEMENTS, RUNS_PER_ELEMENT = 28, 6
 #: What one task gets of a bucket at most: leaders, and words of leaders and of other members each.
 LEADERS, WORDS_PER_CHUNK = 1024, 1_000_000
+#: Members up to which all pairs of a bucket are compared at once; larger ones begin with their hub. Either way gives the same classes.
+HUB_ABOVE = 32
 ENTRIES_PER_STEP = 4_000_000
 # Odd multipliers of a 64-bit mixer.
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
@@ -258,14 +260,19 @@ def find_links(documents: DataFrame, different: DataFrame, keep: str, text: str,
         largest = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("size", "part")).alias("main"))
         return placed.join(largest.filter("parts > 1").drop("parts"), "bucket")
 
-    rays = members.groupBy("hub", "key").agg(F.max("n_words").alias("n_words"))
+    whole = F.col("n") <= F.least("leaders", F.lit(HUB_ABOVE))
+    crowd = members.filter(~whole)
+    rays = crowd.groupBy("hub", "key").agg(F.max("n_words").alias("n_words"))
     crowded = rays.groupBy("hub").agg(F.ceil(F.sum("n_words") / WORDS_PER_CHUNK).alias("split")).filter("split > 1")
     rays = rays.join(crowded, "hub", "left").withColumn("split", F.coalesce("split", F.lit(1))).withColumn("leader", number == F.col("hub"))
     at = F.when(F.col("leader"), F.sequence(F.lit(0).cast("bigint"), F.col("split") - 1)).otherwise(F.array(F.pmod(F.xxhash64("key"), "split")))
     star = rays.select(F.col("hub").alias("bucket"), F.explode(at).alias("chunk"), "key", "leader", F.col("key").alias("part"))
-    links = cut(compared(star))
+    pairs = members.filter(whole).select("bucket", F.lit(-1).cast("bigint").alias("chunk"), "key", F.lit(True).alias("leader"), F.col("key").alias("part"))
+    links = cut(compared(star.unionByName(pairs)))
+    if crowd.isEmpty():
+        return links
 
-    left = cut(parted(members, links))
+    left = cut(parted(crowd, links))
     small = left.filter("n <= leaders").select(
         "bucket", F.lit(0).cast("bigint").alias("chunk"), "key", (F.col("part") != F.col("main")).alias("leader"), "part"
     )

@@ -117,11 +117,19 @@ def test_near_duplicates(spark):
 def test_large_buckets_are_worked_off_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "LEADERS", 2)
     monkeypatch.setattr(near_dup, "WORDS_PER_CHUNK", 600)
+    monkeypatch.setattr(near_dup, "HUB_ABOVE", 2)
     texts = copies(3)
     found = {r["doc_id"]: r["class_id"] for r in near_dup.classified(table(spark, *texts)).collect()}
     assert [found[i] for i in range(len(texts))] == near_classes(texts)
 
 
+def test_buckets_with_hubs_give_the_same_classes(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "HUB_ABOVE", 2)
+    texts = copies(5)
+    found = {r["doc_id"]: r["class_id"] for r in near_dup.classified(table(spark, *texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == near_classes(texts)
+
+
 def test_repeated_rows_and_null_ids(spark):
     frame = table(spark, "same text here", "same text here").unionByName(table(spark, "same text here", "other words").withColumn("doc_id", F.lit(None).cast("bigint")))
     frame = frame.unionByName(frame)
