@@ -207,6 +207,58 @@ def test_blocks_pass_by_whole_and_in_order(spark, rows_per_block, entries_per_bl
             assert not any(set(a) & set(b) for a, b in zip(r.blocks, r.blocks[1:]))
 
 
+def neighbourhoods(cells, k, shrinkage=100.0, rows_per_block=64, own=None):
+    """A stripe over long-form cells in one process, without Spark."""
+    task = collaborative.Neighbourhoods(k, shrinkage)
+    users = np.unique(cells["user_id"])
+    task.start(cells[cells["user_id"].isin(users[:own])].reset_index(drop=True))
+    for at in range(0, len(users), rows_per_block):
+        task.step(cells[cells["user_id"].isin(users[at : at + rows_per_block])].reset_index(drop=True))
+    return task
+
+
+@pytest.mark.parametrize("table,gathered", [(10**6, 10**6), (0, 50)])
+def test_raters_who_cannot_enter_a_list_are_not_looked_at(monkeypatch, table, gathered):
+    monkeypatch.setattr(collaborative, "TABLE", table)
+    monkeypatch.setattr(collaborative, "GATHERED", gathered)
+    pick = np.random.default_rng(3)
+    users, items = np.nonzero(pick.random((800, 30)) < 0.5)
+    rating = pick.integers(1, 6, len(users)).astype(float)
+    cells = pd.DataFrame({"user_id": users * 2, "item_id": items + 5, "rating": rating, "residual": rating - 3, "centred": rating - 2.5})
+    offered, offer = [], stripes.Best.offer
+    monkeypatch.setattr(stripes.Best, "offer", lambda self, lines, *more: offered.append(len(lines)) or offer(self, lines, *more))
+    task = neighbourhoods(cells, 5, own=40)
+    # about 400 raters for each open cell
+    assert len(task.cell_user) > 500 and sum(offered) < 60 * len(task.cell_user)
+    table = {(u, i): (r, c) for u, i, r, c in zip(cells["user_id"], cells["item_id"], cells["residual"], cells["centred"])}
+    dense, seen = np.zeros((800, 30)), np.zeros((800, 30))
+    dense[users, items], seen[users, items] = cells["residual"], 1
+    common = seen[:40] @ seen.T
+    scale = np.sqrt(((dense[:40] ** 2) @ seen.T) * (seen[:40] @ (dense**2).T))
+    similarity = np.where((common > 1) & (scale > 0), dense[:40] @ dense.T / np.where(scale > 0, scale, 1) * (common - 1) / (common + 99), 0)
+    similarity[np.arange(40), np.arange(40)] = 0
+    similarity = np.round(similarity, 10)
+    for cell in range(0, len(task.cell_user), 7):
+        u, item = task.cell_user[cell], task.items[task.cell_item[cell]] - 5
+        raters = np.flatnonzero(seen[:, item])
+        best = sorted((-similarity[u, v], v) for v in raters if similarity[u, v] > 0)[:5]
+        mine = sorted(zip(task.raters.scores[cell], task.raters.more[0][cell]))
+        wanted = sorted((-s, table[v * 2, item + 5][1]) for s, v in best)
+        assert [m[0] for m in mine] == pytest.approx([w[0] for w in wanted], abs=1e-9)
+        assert sorted(m[1] for m in mine) == sorted(w[1] for w in wanted)
+
+
+def test_large_groups_get_a_stripe_for_each_core_at_most(spark):
+    cells = spark.range(12_000).selectExpr("'p' AS portal", "id AS user_id", "id AS item_id")
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "100")
+        counts = stripes.stripe_counts(cells, ("portal",), "user_id", F.lit(0), rows_per_stripe=2048)
+        assert counts.first()["_stripes"] <= max(8, spark.sparkContext.defaultParallelism)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
 def test_best_keeps_the_earlier_of_equal_partners():
     pick = random.Random(4)
     best, seen = stripes.Best(4), [[] for _ in range(9)]
