@@ -303,6 +303,23 @@ def test_wanted_cells_equal_brute_force(spark):
             assert mine[u, i][1] == 0
 
 
+def test_cells_by_joins_equal_those_by_stripes(spark):
+    rows = random_ratings(users=40, items=60, share=0.12)
+    marked = collaborative.residuals(rating_table(spark, rows))
+    rated = {r[:3] for r in rows}
+    wanted = [(p, u, i) for p in "PQ" for u in range(0, 44, 2) for i in range(63)]
+    asked = spark.createDataFrame(wanted + wanted[:5], "portal string, user_id bigint, item_id bigint")
+    values = lambda df: {(r.portal, r.user_id, r.item_id): (r.rating, r.neighbours) for r in df.collect()}
+    slow = values(collaborative.knn_predict(marked, k=3, min_k=2, accept=1, targets=asked))
+    fast = values(collaborative.predict_by_pairs(marked, asked, k=3, min_k=2, accept=1))
+    assert slow.keys() == fast.keys() and len(fast) > 100 and not rated & fast.keys()
+    assert all(fast[c] == (pytest.approx(slow[c][0], abs=1e-9), slow[c][1]) for c in slow)
+    # few raters of an item and small stripes: joins; one item for all: stripes
+    assert collaborative._sparse(marked, ("portal",), 2)
+    one = collaborative.residuals(rating_table(spark, [("P", u, 1, 1.0 + u % 5) for u in range(50)]))
+    assert not collaborative._sparse(one, ("portal",), 2048)
+
+
 def test_one_user_has_no_neighbours(spark):
     marked = collaborative.residuals(rating_table(spark, [("P", 1, i, float(i)) for i in range(1, 4)]))
     assert collaborative.nearest_users(marked).count() == 0
