@@ -212,6 +212,19 @@ def test_forests_are_the_same_in_tasks_and_by_levels(spark):
     assert hits > 68
 
 
+def test_the_driver_holds_no_node_that_a_task_has_grown(spark, monkeypatch):
+    pick = random.Random(8)
+    rows = [(i, [pick.random() for _ in range(3)], pick.randrange(3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id bigint, x array<double>, y int")
+    whole, parts = trees.grow(df, "x", "y"), trees.grow(df, "x", "y", cells_per_task=300)
+    assert whole.top == {} and 0 < len(parts.top) < 40 and len(whole.nodes) > 200 and whole.nodes == parts.nodes
+    assert whole.importances() == pytest.approx(parts.importances())
+    monkeypatch.setattr(trees, "CELLS_PER_TASK", 100)  # rows meet a subtree in chunks
+    for forest in (whole, parts):
+        found = forest.transform(df.unionByName(spark.createDataFrame([(900, None, 1)], df.schema)), "x").collect()
+        assert len(found) == 301 and all(r["prediction"] == (r["y"] if r["x"] else None) for r in found)
+
+
 def test_trees_of_one_label_and_of_no_rows(spark):
     df = spark.createDataFrame([(1, [1.0], 7), (2, [2.0], 7)], "id bigint, x array<double>, y int")
     found = trees.grow(df, "x", "y")
