@@ -217,3 +217,28 @@ def test_pipeline(spark, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{tmp_path}/{t}.parquet").write.parquet(f"{tmp_path}/plain/{t}.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/plain").select("doc_id").distinct().count() == len(kept["secrets"])
+
+
+def test_components_work_in_as_few_pieces_as_links_ask_for(spark, monkeypatch):
+    """Few links do not lie in as many files as there are shuffle partitions, however many these are."""
+    stored = []
+    cut = components.cut
+
+    def counted(df):
+        found = cut(df)
+        stored.append(found.rdd.getNumPartitions())
+        return found
+
+    monkeypatch.setattr(components, "cut", counted)
+    links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 101)], "a bigint, b bigint")
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    names = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        found = {r["id"]: r["root"] for r in components.components(links).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found == {i: 0 for i in range(31)} | {100: 100, 101: 100}
+    assert max(stored[1:]) <= spark.sparkContext.defaultParallelism
