@@ -23,6 +23,8 @@ from .schemas import extended
 
 #: Bounds of what is fitted: labelled rows, hash buckets for n-grams, features, and words a task remembers.
 MAX_ROWS, BUCKETS, FEATURES, REMEMBERED = 20_000, 1 << 18, 2048, 250_000
+#: Words whose n-grams a task remembers while it counts them.
+COUNTED = 50_000
 SIZES = (3, 4, 5)
 SAMPLE_PARTS = 16
 
@@ -130,14 +132,16 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, fea
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros((2, BUCKETS), np.int64)
+        known: dict[str, np.ndarray] = {}
         for batch in batches:
-            known: dict[str, set[int]] = {}
             for text, toxic in zip(batch["text"], batch["toxic"]):
+                if len(known) > COUNTED:
+                    known.clear()
                 words = set(text.lower().split())
                 for word in words.difference(known):
-                    known[word] = word_grams(word)
-                found = set().union(*[known[w] for w in words])
-                counts[int(toxic > 0), np.fromiter(found, np.int64, len(found))] += 1
+                    known[word] = np.fromiter(word_grams(word), np.uint32)
+                if words:
+                    counts[int(toxic > 0), np.unique(np.concatenate([known[w] for w in words]))] += 1
         at = np.flatnonzero(counts.sum(axis=0))
         yield pd.DataFrame({"bucket": at, "clean": counts[0, at], "toxic": counts[1, at]})
 

@@ -5,6 +5,8 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import language, toxicity
@@ -108,3 +110,40 @@ def test_logistic_gradient_vanishes():
     np.add.at(dense, (rows_, columns), values[columns])
     p = 1 / (1 + np.exp(-(dense @ w + b)))
     assert np.abs(dense.T @ (p - y) + w).max() < 0.05 and abs((p - y).sum()) < 0.05
+
+
+def test_counting_n_grams_remembers_a_bounded_number_of_words(monkeypatch):
+    """One word and its n-grams are held at a time, and the counts are those of all words."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 40))) for _ in range(60)]
+    alive, most = [0], [0]
+
+    class Grams(set):
+        def __init__(self, grams):
+            super().__init__(grams)
+            alive[0] += 1
+            most[0] = max(most[0], alive[0])
+
+        def __del__(self):
+            alive[0] -= 1
+
+    grams = toxicity.word_grams
+    expected = Counter(g for t in texts for g in set().union(*[grams(w) for w in t.split()]))
+
+    class Texts:
+        def repartition(self, parts):
+            return self
+
+        def mapInPandas(self, count, schema):
+            found = pd.concat(count(iter([pd.DataFrame({"text": texts, "toxic": [i % 2 for i in range(60)]})])))
+            assert dict(zip(found["bucket"].tolist(), (found["clean"] + found["toxic"]).tolist())) == expected
+            raise InterruptedError
+
+    monkeypatch.setattr(toxicity, "word_grams", lambda word: Grams(grams(word)))
+    monkeypatch.setattr(toxicity, "labelled", lambda *_: Texts())
+    monkeypatch.setattr(toxicity, "cut", lambda rows: rows)
+    monkeypatch.setattr(toxicity, "COUNTED", 50, raising=False)
+    with pytest.raises(InterruptedError):
+        toxicity.train(None, None)
+    assert most[0] <= 2
