@@ -588,3 +588,39 @@ def test_stored_lists_are_those_of_the_runs(spark, tmp_path):
     assert set(store.committed()) == {1, 3}
     again = evaluation.stored_lists(known.limit(0), windows, store)[0]
     assert sorted(map(tuple, again.select(sorted(again.columns)).collect())) == found[0]
+
+
+def test_users_pass_a_stripe_in_growing_pieces(monkeypatch):
+    """Lists are taken up for pieces as large as all users before them, not for every few hundred; results stay the same."""
+    rng = np.random.default_rng(5)
+    cells = [(u, i) for u in range(5000) for i in rng.choice(12, 5, replace=False)]
+    rows = pd.DataFrame(cells, columns=["user_id", "item_id"])
+    rows["rating"] = rng.integers(1, 6, len(rows)).astype(float)
+    rows["residual"] = rows["rating"] - 3 + rng.normal(0, 0.01, len(rows))
+    rows["centred"] = rows["rating"] - 3
+    pieces, meet = [], collaborative.Neighbourhoods._meet_raters
+
+    def counted(self, block, others, similarity):
+        pieces.append(len(others))
+        meet(self, block, others, similarity)
+
+    monkeypatch.setattr(collaborative.Neighbourhoods, "_meet_raters", counted)
+
+    def found(size):
+        pieces.clear()
+        task = collaborative.Neighbourhoods(4, 100.0)
+        task.start(rows[rows["user_id"] % 100 == 0].reset_index(drop=True))
+        for at in range(0, 5000, size):
+            task.step(rows[(rows["user_id"] >= at) & (rows["user_id"] < at + size)])
+        return task.predicted(1, 1, (1.0, 5.0)).sort_values(["user_id", "item_id"], ignore_index=True)
+
+    pd.testing.assert_frame_equal(found(5000), found(100))
+    found(5000)
+    assert pieces == [512, 512, 1024, 2048, 904]
+
+
+def test_stripes_are_dealt_into_more_pieces_than_the_session_has(spark):
+    """A core that is done with its stripes finds others waiting."""
+    cells = spark.createDataFrame([(0, u, i, float(u + i)) for u in range(20) for i in range(3)], "g int, user_id bigint, item_id bigint, residual double")
+    near = collaborative.nearest_users(cells, ["g"], 3, rows_per_stripe=2)
+    assert near.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
