@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.analysis import linkage, newton, prep, resample, tall, trees
 
 
@@ -58,6 +59,32 @@ def test_linkage_of_copies_and_of_one_row(spark):
     assert alone.keys == [9] and alone.merges == [] and alone.cophenetic_correlation() is None and alone.groups(6) == {9: 0}
 
 
+@pytest.mark.parametrize("stored,rows_per_block", [(1, 6), (20, 64)])
+def test_average_linkage_without_stored_distances(spark, stored, rows_per_block):
+    pick = random.Random(7)
+    # one group outgrows a block
+    points = {3 * i + 1: [pick.gauss(30 * (i % 5 == 0), 1 + i % 5) for _ in range(3)] for i in range(45)}
+    df = spark.createDataFrame(list(points.items()), "id bigint, v array<double>").repartition(3)
+    tree = linkage.average_linkage(df, "id", "v", stored=stored, rows_per_block=rows_per_block)
+    merges, _ = brute_linkage(points)
+    assert tree.keys == sorted(points)
+    assert sorted(m[1:] for m in merges) == sorted((m.first, m.second, m.first_size, m.second_size) for m in tree.merges)
+    for wanted, found in zip(sorted(merges), tree.merges):
+        assert found.height == pytest.approx(wanted[0], abs=1e-7)
+    apart = [math.dist(points[a], points[b]) ** 2 for a, b in itertools.combinations(points, 2)]
+    assert tree.squares == pytest.approx(sum(apart))
+
+
+def test_average_linkage_stores_no_matrix_of_many_rows(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(linkage, "cut", lambda rows: kept.append(stored := session.cut(rows)) or stored)
+    df = spark.range(300).select("id", F.array(F.rand(1), F.rand(2), F.rand(3)).alias("v"))
+    tree = linkage.average_linkage(session.cut(df), "id", "v", stored=20, rows_per_block=32)
+    assert len(tree.merges) == 299
+    matrices = [rows for rows in kept if "d" in rows.columns]
+    assert matrices and all(rows.agg(F.max(F.size("d"))).first()[0] <= 20 for rows in matrices)
+
+
 def test_tall_components_equal_those_of_the_covariances(spark):
     pick = np.random.default_rng(5)
     x = pick.normal(size=(700, 5)) @ pick.normal(size=(5, 5)) + 1e6
