@@ -248,6 +248,33 @@ def test_raters_who_cannot_enter_a_list_are_not_looked_at(monkeypatch, table, ga
         assert sorted(m[1] for m in mine) == sorted(w[1] for w in wanted)
 
 
+@pytest.mark.parametrize("share,rare", [(0.5, 0), (0.08, 0), (0.4, 6)])
+def test_raters_remembered_for_each_user_give_the_same_predictions(monkeypatch, share, rare):
+    """Raters are looked at for each user and not for each open cell; rare items, later items and equal raters included."""
+    pick = np.random.default_rng(11)
+    chance = np.where(np.arange(40) < rare, 0.01, share)
+    users, items = np.nonzero(pick.random((700, 40)) < chance)
+    rating = pick.integers(1, 4, len(users)).astype(float)
+    cells = pd.DataFrame({"user_id": users * 3, "item_id": items + 7, "rating": rating, "residual": rating - 1.8, "centred": rating - 2.1})
+    cells = pd.concat([cells, cells.assign(user_id=cells["user_id"] + 1)]).sort_values(["user_id", "item_id"], ignore_index=True)
+    # an item that only a user who passes late has rated, and one that no open cell asks for
+    cells = pd.concat([cells, cells.tail(1).assign(item_id=99)], ignore_index=True)
+    offered, offer = [], stripes.Best.offer
+    monkeypatch.setattr(stripes.Best, "offer", lambda self, lines, *more: offered.append(len(lines)) or offer(self, lines, *more))
+
+    def found(shared, accept):
+        offered.clear()
+        monkeypatch.setattr(collaborative, "SHARED_CELLS", 1000 if shared else 10**9)
+        task = neighbourhoods(cells, 6, own=60)
+        return task.predicted(3, accept, (1.0, 5.0)).sort_values(["user_id", "item_id"], ignore_index=True)
+
+    for accept in (0, 1, 2):
+        one_by_one = found(False, accept)
+        assert sum(offered)
+        pd.testing.assert_frame_equal(found(True, accept), one_by_one, rtol=1e-12)
+        assert not sum(offered)
+
+
 def test_large_groups_get_a_stripe_for_each_core_at_most(spark):
     cells = spark.range(12_000).selectExpr("'p' AS portal", "id AS user_id", "id AS item_id")
     width = spark.conf.get("spark.sql.shuffle.partitions")
