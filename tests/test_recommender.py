@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions import text
 from millrace.operators import intervals, pairblocks, stripes
 from millrace.plans import collaborative, content, evaluation, lists, ratings
 from millrace.sources.run_store import RunStore
@@ -452,6 +453,46 @@ def test_bounds_leave_most_pairs_unscored(spread, share):
     assert work.scored <= share * met
 
 
+@pytest.mark.parametrize("rows_per_stripe,often", [(3, 0.3), (2048, 2.0)])
+def test_text_vectors_lie_in_packed_blocks_that_are_compared_where_they_lie(spark, monkeypatch, rows_per_stripe, often):
+    """Texts of repeated and null ids, in blocks of three and in one, with and without dense terms; brute force by n-grams."""
+    monkeypatch.setattr(content, "DENSE", often)
+    pick = random.Random(8)
+    words = [f"w{i}" for i in range(14)]
+    texts = [(i % 26, " ".join(pick.choices(words, k=pick.randint(1, 9)))) for i in range(28)]
+    texts += [(26, texts[3][1]), (27, texts[3][1]), (28, "alone again"), (29, None), (30, ""), (None, "w1 w2 w3")]
+    counts = {}
+    for doc, body in texts:
+        own = (body or "").split()
+        for n in (1, 2, 3):
+            for i in range(len(own) - n + 1):
+                terms = counts.setdefault(doc, {})
+                terms[tuple(own[i : i + n])] = terms.get(tuple(own[i : i + n]), 0) + 1
+    df = {}
+    for terms in counts.values():
+        for t in terms:
+            df[t] = df.get(t, 0) + 1
+    vectors = {}
+    for doc, terms in counts.items():
+        w = {t: n * (math.log((1 + len(counts)) / (1 + df[t])) + 1) for t, n in terms.items()}
+        norm = math.sqrt(sum(v * v for v in w.values()))
+        vectors[doc] = {t: v / norm for t, v in w.items()}
+    expected = {}
+    for a in vectors.keys() - {None}:
+        scored = []
+        for b in vectors.keys() - {a, None}:
+            score = round(sum(v * vectors[b].get(t, 0.0) for t, v in vectors[a].items()), 8)
+            if score > 0:
+                scored.append((-score, b))
+        expected |= {(a, rank): (b, pytest.approx(-score, abs=2e-8)) for rank, (score, b) in enumerate(sorted(scored)[:4], 1)}
+    table = spark.createDataFrame(texts, "doc bigint, body string")
+    found = content.tf_idf_similar(table, "doc", "body", 4, stop=("the",), rows_per_stripe=rows_per_stripe)
+    assert {(r.doc, r.rank): (r.other_id, r.score) for r in found.collect()} == expected
+    pieces = text.term_counts(table, "doc", "body", (1, 2, 3), ("the",), min(rows_per_stripe, 2048)).pieces
+    # a record for each block and bucket instead of one for each term of each text
+    assert pieces.count() < len(texts)
+
+
 # ---- evaluation
 
 
