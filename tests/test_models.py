@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -239,6 +240,29 @@ def test_forests_are_the_same_in_tasks_and_by_levels(spark):
     assert hits > 68
 
 
+def test_a_column_in_a_task_and_running_totals_give_the_same_splits(spark):
+    """Two trees' nodes of whole and repeated rows; one node cannot be split."""
+    pick = random.Random(4)
+    rows = [(t, p, [pick.random(), float(pick.randrange(3)), 1.0], pick.randrange(3), float(pick.randrange(1, 4))) for t in (0, 1) for p in ("L", "RL") for _ in range(40)]
+    rows += [(1, "RR", [1.0, 2.0, 3.0], c, 1.0) for c in (0, 1)]
+    df = spark.createDataFrame(rows, "tree int, path string, x array<double>, y int, w double").repartition(3)
+    for impurity, leaf, per_split in (("gini", 1.0, None), ("entropy", 7.0, None), ("gini", 1.0, 1)):
+        s = trees.Settings(3, 3, impurity, None, leaf, per_split, "s")
+        found = [sorted(tuple(r) for r in f(df, s).collect()) for f in (trees._column_splits, trees._level_splits)]
+        assert found[0] == found[1] and len(found[0]) == 4
+
+
+def test_a_tree_of_many_nodes_is_grown_by_levels_and_not_node_by_node():
+    """Thirty thousand rows without any order, a node for nearly each: the time of a search for each node is out of reach."""
+    pick = np.random.default_rng(2)
+    x, y = pick.normal(size=(30_000, 4)), pick.integers(0, 4, 30_000)
+    began = time.process_time()
+    found = trees._grown(0, "", x, y, np.ones(30_000), trees.Settings(4, 4, "gini", None, 1.0, 1, ""))
+    assert time.process_time() - began < 6 and len(found) > 30_000
+    ends = found[found["feature"].isna()]
+    assert sum(c.sum() for c in ends["counts"]) == 30_000 and all(np.count_nonzero(c) == 1 for c in ends["counts"])
+
+
 def test_the_driver_holds_no_node_that_a_task_has_grown(spark, monkeypatch):
     pick = random.Random(8)
     rows = [(i, [pick.random() for _ in range(3)], pick.randrange(3)) for i in range(300)]
