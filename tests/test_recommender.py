@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -172,6 +173,43 @@ def test_a_row_is_sent_once_per_stripe_and_once_as_its_own(spark):
     assert {r.portal: r["_stripes"] for r in more.collect()} == {"p": 10, "q": 1}
 
 
+@pytest.mark.parametrize("asked", [None, "wanted"])
+def test_every_stripe_is_filled_in_one_wave(spark, asked):
+    rows = [(g, u, i, (u + i) % 3 == 0) for g, users in (("p", 40), ("q", 7), ("r", 1)) for u in range(users) for i in range(3)]
+    cells = spark.createDataFrame(rows, "portal string, user_id bigint, item_id bigint, wanted boolean")
+    counts = stripes.stripe_counts(cells, ("portal",), "user_id", F.lit(0), rows_per_stripe=6)
+    whole = sorted(map(tuple, stripes.placed(cells, counts, ("portal",), "user_id", asked).collect()))
+    parts = [list(map(tuple, stripes.placed(cells, counts, ("portal",), "user_id", asked, wave=w, waves=3).collect())) for w in range(3)]
+    assert sorted(sum(parts, [])) == whole and all(parts)
+    owners = [{(r[0], r[4]) for r in part} for part in parts]
+    assert sum(map(len, owners)) == len(set.union(*owners))
+
+
+def test_stripes_that_take_turns_leave_no_shuffle_files(spark, monkeypatch):
+    """The same recommendations in one wave and in many, which remove what they have sent."""
+    rated = rating_table(spark, random_ratings(users=120))
+    marked = collaborative.residuals(rated)
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def files() -> dict[str, int]:
+        paths = [Path(p) for p in manager.getAllFiles().mkString("|").split("|")]
+        return {p.name: p.stat().st_size for p in paths if p.name.startswith("shuffle_") and p.exists()}
+
+    def sent(limit: int) -> tuple[list, int]:
+        monkeypatch.setattr(stripes, "SENT", limit)
+        before = files()
+        found = collaborative.recommend(marked, n=5, rows_per_stripe=10)
+        rows = sorted(map(tuple, found.collect()))
+        return rows, sum(size for name, size in files().items() if name not in before)
+
+    whole, left = sent(10**9)
+    monkeypatch.setattr(stripes, "cut", lambda df, stored=stripes.cut: waves.append(df) or stored(df))
+    waves: list = []
+    turns, rest = sent(200_000)
+    assert turns == whole and len(waves) > 4
+    assert rest < left / 4
+
+
 def test_only_stripes_with_asked_rows_get_cells(spark):
     rows = [("p", u, u == 3) for u in range(40)] + [("q", u, False) for u in range(40)]
     cells = spark.createDataFrame(rows, "portal string, user_id long, wanted boolean")
