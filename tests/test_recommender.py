@@ -203,7 +203,7 @@ def test_stripes_that_take_turns_leave_no_shuffle_files(spark, monkeypatch):
         return rows, sum(size for name, size in files().items() if name not in before)
 
     whole, left = sent(10**9)
-    monkeypatch.setattr(stripes, "cut", lambda df, stored=stripes.cut: waves.append(df) or stored(df))
+    monkeypatch.setattr(stripes, "lean_cut", lambda df, stored=stripes.lean_cut: waves.append(df) or stored(df))
     waves: list = []
     turns, rest = sent(200_000)
     assert turns == whole and len(waves) > 4
